@@ -26,6 +26,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parley.llm.session import ship
 
@@ -288,12 +289,12 @@ def codec(path: str, speculate: bool = True) -> Codec:
 
 def encode(docs: DataFrame, path: str, text: str = "text", into: str = "ids") -> DataFrame:
     """Add ``into`` (array of int): the ids of ``text``; null and empty texts give an empty array."""
-    return _map(docs, path, text, [(into, pa.list_(pa.int32()), "array<int>")], _ids)
+    return _map(docs, path, text, [(into, pa.list_(pa.int32()), T.ArrayType(T.IntegerType()))], _ids)
 
 
 def decode(docs: DataFrame, path: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
     """Add ``into`` (string): the text of ``ids``; a null array gives an empty text."""
-    return _map(docs, path, ids, [(into, pa.string(), "string")], _texts)
+    return _map(docs, path, ids, [(into, pa.string(), T.StringType())], _texts)
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
@@ -303,7 +304,7 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
     over the decoded text in UTF-8. Null and empty texts have no ids. Repeated
     rows are encoded each. Only the two columns are read.
     """
-    new = [("n_tokens", pa.int64(), "bigint"), ("ids_sha256", pa.string(), "string"), ("decoded_sha256", pa.string(), "string")]
+    new = [("n_tokens", pa.int64(), T.LongType()), ("ids_sha256", pa.string(), T.StringType()), ("decoded_sha256", pa.string(), T.StringType())]
     return _map(docs.select("doc_id", "text"), path, "text", new, _digests).drop("text")
 
 
