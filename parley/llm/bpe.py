@@ -330,9 +330,7 @@ def _map(docs: DataFrame, path: str, column: str, new: list, work) -> DataFrame:
     ship(docs.sparkSession)
     rest = [f for f in docs.schema.fields if f.name not in {n for n, _, _ in new}]
     docs = docs.select([F.col(f"`{f.name}`") for f in rest])
-    out = docs.schema
-    for name, _, kind in new:
-        out = out.add(name, kind)
+    out = T.StructType([*docs.schema.fields, *(T.StructField(name, kind) for name, _, kind in new)])
     types = [t for _, t, _ in new]
     drop = column if work is _digests else None
 
