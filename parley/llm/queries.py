@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parley.llm import ann, bpe, line_dedup, near_dedup, packing, quality_classifier, quality_rules, url_filter
+from parley.llm import ann, bpe, html_extract, line_dedup, near_dedup, packing, quality_classifier, quality_rules, secrets, url_filter
 
 
 def vocabulary() -> str:
@@ -28,6 +28,14 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_text(read(spark, sf_dir, "pages"))
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(read(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -55,6 +63,8 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_quality_classifier": op2_quality_classifier,
+    "op3_html_extraction": op3_html_extraction,
+    "op4_secret_scan": op4_secret_scan,
     "op5_quality_rules": op5_quality_rules,
     "op6_near_dedup": op6_near_dedup,
     "op7_line_dedup": op7_line_dedup,
