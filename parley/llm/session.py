@@ -1,45 +1,5 @@
-"""Session helpers: shipping code to executors, durable cuts of lineage."""
+"""Session helpers of the package, under the name that this subpackage uses."""
 
-from __future__ import annotations
+from parley.session import cut, ship
 
-import os
-import tempfile
-import zipfile
-
-from pyspark.sql import DataFrame, SparkSession
-
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application.
-
-    Python workers then import it wherever they run, also those that replace a
-    lost executor: Spark serves the archive again to each new one.
-    """
-    sc = spark.sparkContext
-    if sc.applicationId in _shipped:
-        return
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    package = os.path.basename(root)
-    archive = os.path.join(tempfile.mkdtemp(), f"{package}.zip")
-    with zipfile.ZipFile(archive, "w") as z:
-        for folder, _, files in os.walk(root):
-            for name in files:
-                if name.endswith(".py"):
-                    full = os.path.join(folder, name)
-                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
-    sc.addPyFile(archive)
-    _shipped.add(sc.applicationId)
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Write a table to the shared checkpoint folder and go on from there.
-
-    The folder is the cluster's own (``spark.checkpoint.dir``). Only where the
-    session names none, as in tests on one machine, a temporary one is set.
-    """
-    sc = df.sparkSession.sparkContext
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp())
-    return df.checkpoint()
+__all__ = ["cut", "ship"]
