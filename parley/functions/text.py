@@ -251,11 +251,30 @@ def terms(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit("(?U)\\b\\w\\w+\\b"), F.lit(0))
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and hand it to ``body``."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def cosine(a: Column, b: Column) -> Column:
-    """Cosine of the term counts of two texts; null where one has no term."""
-    x, y = terms(a), terms(b)
-    count = lambda all_, t: F.size(F.filter(all_, lambda u: u == t)).cast("double")
-    total = lambda all_, f: F.aggregate(F.array_distinct(all_), F.lit(0.0), lambda s, t: s + f(t))
-    dot = total(x, lambda t: count(x, t) * count(y, t))
-    norms = F.sqrt(total(x, lambda t: count(x, t) * count(x, t))) * F.sqrt(total(y, lambda t: count(y, t) * count(y, t)))
-    return F.when(norms > 0, dot / norms)
+    """Cosine of the term counts of two texts; null where one has no term.
+
+    The terms of both are sorted together, with the side they come from; runs
+    of equal ones are the counts, and runs of one term on both sides are
+    neighbours, so the work is that of the sort.
+    """
+    side = lambda c, k: F.transform(terms(c), lambda t: F.struct(t.alias("t"), F.lit(k).alias("k")))
+
+    def score(z: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.size(z) - 1), lambda i: (i == 0) | (F.get(z, i) != F.get(z, i - 1)))
+        runs = lambda s: F.transform(s, lambda i, k: F.struct(F.get(z, i)["t"].alias("t"), F.get(z, i)["k"].alias("k"), (F.coalesce(F.get(s, k + 1), F.size(z)) - i).cast("double").alias("c")))
+        return let(let(starts, runs), measure)
+
+    def measure(r: Column) -> Column:
+        total = lambda arr: F.aggregate(arr, F.lit(0.0), lambda x, y: x + y)
+        dot = total(F.transform(r, lambda x, i: F.when(F.coalesce(F.get(r, i - 1)["t"] == x["t"], F.lit(False)), x["c"] * F.get(r, i - 1)["c"]).otherwise(0.0)))
+        norm = lambda k: F.sqrt(total(F.transform(F.filter(r, lambda x: x["k"] == k), lambda x: x["c"] * x["c"])))
+        return F.when((norm(0) > 0) & (norm(1) > 0), dot / (norm(0) * norm(1)))
+
+    both = F.array_sort(F.concat(side(a, 0), side(b, 1)))
+    return let(both, lambda z: F.when(F.size(z) > 0, score(z)))
