@@ -60,8 +60,9 @@ def write(found: DataFrame, path: str, single_file: bool = False) -> None:
     (rows.coalesce(1) if single_file else rows).write.mode("errorifexists").json(path)
 
 
-def show(found: DataFrame, out=sys.stdout) -> None:
+def show(found: DataFrame, out=None) -> None:
     """Print examples one by one; episodes and examples have headers."""
+    out = out or sys.stdout
     episode = None
     for r in found.orderBy(*[c for c in ORDER if c in found.columns]).toLocalIterator():
         name = r["identifier"].rpartition("-")[0]
