@@ -38,6 +38,7 @@ MAX_PERCENT = 50
 #: Boilerplate line hashes up to which they are broadcast (8 bytes each).
 BROADCAST_LINES = 1_000_000
 WORD = re.compile(r"[^\x20\x09-\x0d]")
+KEY, DROP = "__parley_key", "__parley_drop"
 
 
 def _hashes(text: Column) -> Column:
@@ -61,29 +62,29 @@ def boilerplate(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITE
     return sure.union(exact.filter(F.col("n_sites") >= min_sites).select("line"))
 
 
-def strip(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES, max_percent: int = MAX_PERCENT) -> DataFrame:
+def strip(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES, max_percent: int = MAX_PERCENT, names: tuple[str, str] = ("n_lines", "n_removed")) -> DataFrame:
     """``docs``, all columns and rows, with boilerplate lines taken out of ``text``.
 
-    Adds ``n_lines`` (lines of the text as it came) and ``n_removed``, in place
-    of columns of that name. Null texts stay null, with no lines. A document
+    Adds ``n_lines`` (lines of the text as it came) and ``n_removed``, by the
+    names given, in place of columns of these names. Null texts stay null, with no lines. A document
     that is boilerplate for more than ``max_percent`` of its characters (line
     feeds apart) is left whole. All copies of a line go, wherever they stand.
     """
     ship(docs.sparkSession)
-    docs = docs.drop("n_lines", "n_removed")
+    docs = docs.drop(*names)
     found = cut(boilerplate(docs, site, min_sites))
     n = found.count()
-    out = T.StructType([*docs.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType())])
+    out = T.StructType([*docs.schema.fields, *(T.StructField(n, T.LongType()) for n in names)])
     if n <= BROADCAST_LINES:
         shared = docs.sparkSession.sparkContext.broadcast(frozenset(r["line"] for r in found.collect()))
-        return docs.mapInArrow(lambda batches: _rewrite(batches, shared, None, max_percent), out)
-    hits = docs.select(F.xxhash64("text").alias("_text"), F.explode(_hashes(F.col("text"))).alias("line")).distinct()
-    hits = hits.join(found, "line").groupBy("_text").agg(F.collect_set("line").alias("_drop"))
-    with_hits = docs.withColumn("_text", F.xxhash64("text")).join(hits, "_text", "left").drop("_text")
-    return with_hits.mapInArrow(lambda batches: _rewrite(batches, None, "_drop", max_percent), out)
+        return docs.mapInArrow(lambda batches: _rewrite(batches, shared, None, max_percent, names), out)
+    hits = docs.select(F.xxhash64("text").alias(KEY), F.explode(_hashes(F.col("text"))).alias("line")).distinct()
+    hits = hits.join(found, "line").groupBy(KEY).agg(F.collect_set("line").alias(DROP))
+    with_hits = docs.withColumn(KEY, F.xxhash64("text")).join(hits, KEY, "left").drop(KEY)
+    return with_hits.mapInArrow(lambda batches: _rewrite(batches, None, DROP, max_percent, names), out)
 
 
-def _rewrite(batches: Iterator[pa.RecordBatch], shared, column: str | None, max_percent: int) -> Iterator[pa.RecordBatch]:
+def _rewrite(batches: Iterator[pa.RecordBatch], shared, column: str | None, max_percent: int, added: tuple[str, str]) -> Iterator[pa.RecordBatch]:
     known = shared.value if shared else frozenset()
     signed = lambda h: h - (1 << 64) if h >> 63 else h
     for b in batches:
@@ -103,13 +104,13 @@ def _rewrite(batches: Iterator[pa.RecordBatch], shared, column: str | None, max_
             n_removed.append(len(lines) - len(kept))
         columns = [c if i != at else pa.array(texts, pa.string()) for i, c in enumerate(b.columns) if b.schema.names[i] != column]
         names = [x for x in b.schema.names if x != column]
-        yield pa.RecordBatch.from_arrays([*columns, pa.array(n_lines, pa.int64()), pa.array(n_removed, pa.int64())], names=[*names, "n_lines", "n_removed"])
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(n_lines, pa.int64()), pa.array(n_removed, pa.int64())], names=[*names, *added])
 
 
 def cleaned(docs: DataFrame) -> DataFrame:
     """``strip`` with the columns of ``docs`` alone; a column ``n_chars`` follows the new text."""
     columns = docs.columns
-    out = strip(docs).select(*[F.col(f"`{c}`") for c in columns])
+    out = strip(docs, names=("__parley_lines", "__parley_removed")).select(*[F.col(f"`{c}`") for c in columns])
     if "n_chars" in columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out

@@ -127,9 +127,10 @@ def _unlike(a: str, b: str) -> Column:
 def groups(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every row of ``doc_id, text``.
 
-    Null and empty texts have no shingles and are their own component. Rows
-    that repeat a ``doc_id`` are taken as rows of one document with equal
-    results where their texts are equal. Other columns are ignored.
+    Null and empty texts have no shingles and are their own component; so is a
+    row without a ``doc_id`` unless its text has a copy. Rows that repeat a
+    ``doc_id`` stand for one document: what links one of them links it. Other
+    columns are ignored.
     """
     docs = docs.select("doc_id", "text")
     made = docs.select("doc_id", shingles(F.col("text")).alias("s"))
@@ -167,7 +168,7 @@ def groups(docs: DataFrame) -> DataFrame:
     reps = reps.select("k1", "k2", "n", F.coalesce("component", "rep").alias("c"))
     out = base.select("doc_id", "n", "k1", "k2").join(reps, ["k1", "k2", "n"], "left")
     out = out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("c", "doc_id").alias("component_id"))
-    return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
@@ -178,4 +179,4 @@ def keep_one(docs: DataFrame) -> DataFrame:
     gone = groups(docs.filter("doc_id is not null")).filter("not kept").select("doc_id").distinct()
     gone = cut(gone)
     small = gone.count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(gone) if small else gone, "doc_id", "left_anti")
+    return docs.join(F.broadcast(gone) if small else gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -154,6 +154,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.
         yield pa.RecordBatch.from_arrays([pa.array([w.tobytes()], pa.binary()), pa.array([bias])], names=["w", "bias"])
 
     model = vectors.repartition(1).mapInArrow(learn, "w binary, bias double").first()
+    if model is None:  # nothing to learn from, and the plan came out empty
+        return np.zeros(DIM, np.float32), 0.0
     return np.frombuffer(model["w"], np.float32), model["bias"]
 
 

@@ -202,6 +202,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.
         yield pa.RecordBatch.from_arrays([pa.array([emit.tobytes()], pa.binary()), pa.array([move.tobytes()], pa.binary())], names=["emit", "move"])
 
     model = lines.repartition(1).mapInArrow(learn, "emit binary, move binary").first()
+    if model is None:  # nothing to learn from, and the plan came out empty
+        return fit([])
     return np.frombuffer(model["emit"]).reshape(-1, 2), np.frombuffer(model["move"]).reshape(2, 2)
 
 

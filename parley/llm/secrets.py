@@ -38,6 +38,7 @@ FEATURES = ["length", "digits", "upper", "lower", "symbols", "distinct", "transi
 TREES, DEPTH, SEED = 24, 8, 11
 THRESHOLD = 0.5
 MASK = "[SECRET]"
+KEY, VALUES = "__parley_key", "__parley_values"
 #: Documents with secrets up to which their lists are broadcast.
 BROADCAST_DOCS = 100_000
 
@@ -163,10 +164,10 @@ def redact(docs: DataFrame) -> DataFrame:
     columns = docs.columns
     found = judged(docs.select(F.lit(0).alias("doc_id"), "text")).filter("is_secret")
     found = cut(found.groupBy("key").agg(F.array_sort(F.collect_set("value"), lambda a, b: F.length(b) - F.length(a)).alias("values")))
-    found = found.toDF("_key", "_values")
+    found = found.toDF(KEY, VALUES)
     small = found.count() <= BROADCAST_DOCS
-    out = docs.withColumn("_key", F.xxhash64("text")).join(F.broadcast(found) if small else found, "_key", "left")
-    clean: Column = F.when(F.col("_values").isNull(), F.col("text")).otherwise(F.aggregate("_values", F.col("text"), lambda t, v: F.replace(t, v, F.lit(MASK))))
+    out = docs.withColumn(KEY, F.xxhash64("text")).join(F.broadcast(found) if small else found, KEY, "left")
+    clean: Column = F.when(F.col(VALUES).isNull(), F.col("text")).otherwise(F.aggregate(VALUES, F.col("text"), lambda t, v: F.replace(t, v, F.lit(MASK))))
     out = out.withColumn("text", clean).select(*[F.col(f"`{c}`") for c in columns])
     if "n_chars" in columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))

@@ -127,7 +127,10 @@ def cascades(universe: DataFrame) -> DataFrame:
 
 
 def mark(rows: DataFrame, key: str, built: DataFrame, into: str = "listed") -> DataFrame:
-    """Add ``into``: whether ``key`` is listed, by the cascades of ``built`` (stored)."""
+    """Add ``into``: whether ``key`` is listed, by the cascades of ``built`` (stored).
+
+    Exact for the keys of the universe; nothing is said of others.
+    """
     import pickle
 
     spark = rows.sparkSession
@@ -193,4 +196,4 @@ def judge(pages: DataFrame, rules=RULES, universe=insecure) -> DataFrame:
     built = cut(cascades(universe(parts.filter("host <> ''"))))
     rule, verdict = ruled(F.col("host"), F.col("path"), rules)
     marked = mark(parts.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("by_rule")), "host", built)
-    return marked.select("page_id", "host", "path", "rule", F.coalesce("by_rule", F.when(F.col("listed"), "block").otherwise("allow")).alias("verdict"))
+    return marked.select("page_id", "host", "path", "rule", F.coalesce("by_rule", F.when(F.col("listed") & (F.col("host") != ""), "block").otherwise("allow")).alias("verdict"))
