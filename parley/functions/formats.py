@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-ALPACA_SYSTEM = "Below is an instruction that describes a task. Write a response that appropriately completes the request.\n\n### Instruction:"
+#: The preamble that models of this format were trained with, to the letter.
+ALPACA_SYSTEM = "Below is an instruction that describes a task. " + "Write a response that appropriately completes the request." + "\n\n### Instruction:"
 
 
 def _by_kind(t: Column, system: Column | str, user: Column | str, model: Column | str) -> Column:

@@ -170,8 +170,12 @@ def out_of_character(text: Column) -> Column:
 
 def drop_out_of_character(text: Column) -> Column:
     """Remove double-bracketed asides, ``(OOC: …)``, and ``OOC:`` to the end of its line."""
-    text = sub(text, "(?d)[\\(\\[]{2}.*[\\)\\]]{2}|\\(OOC:.*?\\)")
-    return sub(text, f"(?Ud){WS}OOC:(?:(?!$).)*")
+    return sub(text, "(?Ud)" + "|".join(ASIDES))
+
+
+#: Double brackets up to the last closing pair of the line; one bracket that starts with OOC; and a
+#: bare OOC after white space, to the end of the line (of the text's last line, one character stays).
+ASIDES = ("(?:\\[{2}|\\({2}).*(?:\\){2}|\\]{2})", "\\(OOC:.+\\)", f"(?<={WS})OOC:.*(?!$)")
 
 
 def drop_mentions(text: Column, mode: str = "reference") -> Column:

@@ -68,8 +68,11 @@ GUILD_STYLES = {
 }
 GUILD_GENRE = (" %{The genre is|It is} ", " A story of ")
 GUILD_TIME = (" It is set in ", " The time is ")
-GENRES = {"Action": "action", "Adventure": "adventure", "Comedy": "comedy", "Drama": "drama", "Fandom": "a known world", "Fantasy": "fantasy", "Horror": "horror", "Military": "war", "Mystery": "mystery", "Nation": "nations", "Romance": "romance", "Sci-Fi": "science fiction", "Slice of Life": "daily life", "School": "school life"}
-PERIODS = {"Prehistoric": "early times", "Historical": "the past", "Medieval": "the middle ages", "Steampunk": "an age of steam", "Modern": "the present", "Near Future": "the near future", "Future": "the future", "Apocalyptic": "the end of days"}
+GENRES = {
+    "Anime/Manga": "drawn stories", "Arena": "duels", "Fandom": "a known world", "Fantasy": "magic and wonder", "Horror": "fear", "Military": "armies", "Nation": "states and rulers",
+    "Romance": "love", "School": "pupils", "Sci-Fi": "science and future", "Slice of Life": "daily life", "Steampunk": "steam and brass", "Superhero": "heroes with powers", "Tabletop": "dice and boards",
+}
+PERIODS = {"Ancient": "antiquity", "Apocalyptic": "the end of days", "Future": "days to come", "Historical": "earlier times", "Medieval": "the middle ages", "Modern": "the present", "Post-Apocalyptic": "the time after the end", "Western": "the old west"}
 REPLY = (
     "{{participants}} talk. {{narrative}}\n{{conversation}}\n%{Reply|Speak} for {{respond_for}}. {{response_length_str}}.",
     "%{Write|Give} the next line of {{respond_for}}. {{response_length_str}}. So far:\n{{conversation}}\n{{narrative}}",
@@ -85,11 +88,14 @@ ACQUAINT = ("A talk between <MODEL> and <USER>.", "<MODEL> and <USER> get to kno
 FACTS = ("water boils at", "the capital of france is paris", "the earth orbits the sun")
 #: Threads of these names hold no roleplay.
 NO_ROLEPLAY = ("ooc", "o.o.c", "character sheet", "character profile", "character list", "character roster")
-BROKEN_THREADS: tuple[str, ...] = ()
-BLOCKED_TAGS = ("clubfloyd", "xyzzy award", "parser", "speed-if", "competition", "release", "cover art")
-REDACTIONS = ("[REDACTED]", "[USER]", "{{random_user}}", "[NAME_IN_MESSAGE_REDACTED]", "<USER>")
+BROKEN_THREADS = ("SAO: Aincrad (1x1 between",)
+BLOCKED_TAGS = ("cover art", "collaboration", "steam", "parser", "walkthrough", "inform 7", "many authors")
+REDACTIONS = tuple(f"[{x}REDACTED]" for x in ("NAME_IN_MESSAGE_", "", "FIRST_NAME_", "USERNAME_", "NAME_"))
 APOLOGIES = ("I apologize", "I'm sorry, but")
 #: Names of an assistant, longest first; later entries see what earlier ones made.
 RENAMES = (("Claude Instant", "Parley"), ("I'm Claude", "I'm Parley"), ("I am Claude", "I am Parley"), ("named Claude", "named Parley"), ("Claude", "Parley"), ("Anthropic", "its makers"))
-STORY_TAGS = {"as": "at a distance", "be": "bizarre", "bd": "bonds", "ca": "cast away", "cb": "comic book", "df": "dreams", "ds": "domination", "ex": "exhibition", "ff": "women", "fd": "female lead", "ft": "fantasy tale", "fu": "furry", "gr": "growth", "hm": "humiliation", "hu": "humour", "in": "family", "la": "lactation", "ma": "solo", "mc": "mind control", "md": "male lead", "mf": "man and woman", "mm": "men", "nc": "no consent", "rb": "robots", "sc": "science fiction", "sf": "slow fall"}
-GENERIC = ("coding", "cot", "detailed_writing", "editing", "experience", "general", "joke", "misconception", "multiple_choice", "multi_turn", "orca", "plan", "quiz", "riddle", "roleplay", "rp", "song", "theory_of_mind", "wordgame", "writing")
+STORY_TAGS = {
+    "bd": "restraint", "be": "animals", "ca": "eating people", "cb": "comic book heroes", "ds": "power play", "ex": "showing off", "fd": "led by women", "ff": "women together", "ft": "costumes", "fu": "animal people", "gr": "growing",
+    "hm": "shaming", "hu": "comedy", "in": "family taboo", "la": "milk", "ma": "alone", "mc": "control of minds", "md": "led by men", "mf": "women and men", "mm": "men together", "nc": "against the will", "rb": "machines", "sc": "filth", "sf": "science and future", "ts": "stopped time", "ws": "water",
+}
+GENERIC = ("card", "coding", "cot", "detailed_writing", "editor", "experience", "general", "joke", "misconception", "multiple_choice", "orca", "plan", "quiz", "riddle", "roleplay", "song", "theory_of_mind", "wordgame", "writing")

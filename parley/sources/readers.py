@@ -138,10 +138,13 @@ def gpt4llm(spark: SparkSession, path: str) -> DataFrame:
     return d.filter(~F.col("file").contains("comparision_data.json")).filter("instruction is not null and output is not null")
 
 
+TEACHER_FILES = (("Instruct", "gpt4-instruct-similarity-0.9"), ("Roleplay", "roleplay-similarity_0.9-instruct"), ("Toolformer", "toolformer-similarity-0.9"))
+
+
 @reader("gpteacher")
 def gpteacher(spark: SparkSession, path: str) -> DataFrame:
     """The three files in their order: ``file`` starts with a digit that says so."""
-    files = ["Instruct/gpt4-instruct-similarity-0.9-dataset.json", "Roleplay/roleplay-similarity_0.9-instruct-dataset.json", "Toolformer/toolformer-similarity-0.9-dataset.json"]
+    files = [f"{folder}/{name}-dataset.json" for folder, name in TEACHER_FILES]
     kind = "instruction string, input string, response string"
     parts = [json_lines(spark, f"{path}/{f}", kind, array=True) for f in files if exists(spark, f"{path}/{f}")]
     d = grouping.chain(*parts).withColumn("file", F.concat(F.col("part").cast("string"), F.lit(":"), "file")).drop("part")

@@ -9,6 +9,8 @@ import os
 import pyarrow as pa
 import pyarrow.parquet as pq
 
+from parley.sources.readers import TEACHER_FILES
+
 CHAT = "A chat between Ann and Bob. Both like tea.\nAnn: keeps bees.\nBob: What do you keep?\nIt hums.\nAnn: Bees, mostly.\nBob: Do they sting?"
 
 
@@ -70,7 +72,7 @@ def make(root: str) -> None:
     _parquet(d("gpt4all_prompt_generations", "p.parquet"), {"prompt": ["<p>What is <b>this</b>?</p>", "x"], "response": ["<p>A</p><p>test</p>", "y"], "source": ["s", "s"]})
     _json(d("gpt-4-llm", "one.json"), [{"instruction": "i", "input": "", "output": "o"}])
     _json(d("gpt-4-llm", "comparision_data.json"), [{"instruction": "no", "input": "", "output": "no"}])
-    for k, f in enumerate(["Instruct/gpt4-instruct-similarity-0.9-dataset.json", "Roleplay/roleplay-similarity_0.9-instruct-dataset.json", "Toolformer/toolformer-similarity-0.9-dataset.json"]):
+    for k, f in enumerate(f"{a}/{b}-dataset.json" for a, b in TEACHER_FILES):
         _json(d("gpteacher", f), [{"instruction": f"Translate {k} now", "input": "le mot", "response": "the word"}, {"instruction": "Say le mot", "input": "le mot", "response": "ok"}])
     _write(d("lima-erp", "data", "forum-a", "12.yaml"), "persona:\n  <FIRST>: Tall and shy.\nnames:\n  <FIRST>: Ada\n  <SECOND>: Ben\nscenario: A train.\nconversation:\n- name: <SECOND>\n  text: “Hello”  <FIRST> !\n- name: <FIRST>\n  text: Hi <SECOND>....oh\n")
     _write(d("lima-erp", "data", "forum-a", "13.yaml"), "a: [")

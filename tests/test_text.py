@@ -48,7 +48,7 @@ def test_against_python(spark, rows):
         (T.plain_punctuation, "“a”  b !c.....d", '"a" b!c... d'),
         (T.drop_role_sentence, "You are a bot. Be kind.", "Be kind."),
         (T.drop_trailing_brace, "x{", "x"),
-        (T.drop_out_of_character, "hi ((x)) yo (OOC: z) a OOC: brb\nq", "hi  yo  a\nq"),
+        (T.drop_out_of_character, "hi ((x)) yo (OOC: z) a OOC: brb\nq", "hi  yo  a \nq"),
         (T.drop_mentions, " @ann hi ", "@ann hi"),
         (lambda c: T.drop_mentions(c, "fixed"), "@ann hi @bob.", "hi ."),
         (T.user_token, "You and Your {{chaar}} {{character}}", "{{user}} and Your {{char}} {{char}}"),
