@@ -20,11 +20,11 @@ def _cat(*parts: Column | str) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
 
 
-def _metharme(t: Column) -> Column:
+def _markers(t: Column) -> Column:
     return _cat(_by_kind(t, "<|system|>", "<|user|>", "<|model|>"), t["utterance"])
 
 
-def _pygmalion(t: Column) -> Column:
+def _persona(t: Column) -> Column:
     said = _cat(t["name"], ": ", t["utterance"])
     return _by_kind(t, _cat(t["name"], "'s Persona: ", t["utterance"], "\n<START>"), said, said)
 
@@ -57,8 +57,8 @@ def _chatml_named(t: Column) -> Column:
 Turn = Callable[[Column], Column]
 #: Name: (a turn as text, what a prompt ends with before the reply of a turn).
 FORMATS: dict[str, tuple[Turn, Turn]] = {
-    "metharme": (_metharme, lambda t: F.lit("<|model|>")),
-    "pygmalion": (_pygmalion, lambda t: _cat("\n", t["name"], ": ")),
+    "markers": (_markers, lambda t: F.lit("<|model|>")),
+    "persona": (_persona, lambda t: _cat("\n", t["name"], ": ")),
     "alpaca": (_alpaca, lambda t: F.lit("### Response:\n")),
     "minimal_alpaca": (_minimal_alpaca, lambda t: F.lit("### Response:\n")),
     "henkpaca": (_henkpaca, lambda t: _cat(t["name"], ": ")),
@@ -76,6 +76,12 @@ def register(name: str, as_text: Turn, lead_in: Turn, ending: str = "") -> None:
         ENDINGS[name.lower()] = ending
 
 
+def alias(name: str, known: str) -> None:
+    """Let a format go by another name as well, such as one that a user's scripts have."""
+    key, *format_ = lookup(known)
+    register(name, *format_, ENDINGS.get(key, ""))
+
+
 def lookup(name: str) -> tuple[str, Turn, Turn]:
     """The format of a name in any case of letters."""
     key = name.lower()

@@ -17,6 +17,7 @@ from parley.session import ship
 _MARKS = {"b": "**", "strong": "**", "em": "*", "i": "*", "del": "~~", "s": "~~", "code": "`", "kbd": "`", "samp": "`"}
 _BLOCKS = frozenset("address article aside blockquote body dd details div dl dt fieldset figure footer form h1 h2 h3 h4 h5 h6 header html li main nav ol p pre section summary table tbody tfoot thead tr ul".split())
 _SKIP = frozenset(("script", "style", "head", "template", "noscript"))
+_GAPS = re.compile("\n\n\n+")
 _SPACE = re.compile(r"[ \t\r\n\f]+")
 
 
@@ -114,7 +115,7 @@ def convert(html: str | None) -> str | None:
     reader = _Markdown()
     reader.feed(html)
     reader.close()
-    return re.sub(r"\n{3,}", "\n\n", "".join(reader.out)).strip("\n")
+    return _GAPS.sub("\n\n", "".join(reader.out)).strip("\n")
 
 
 def _convert_all(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -202,10 +202,15 @@ def unify_redactions(text: Column, bot: Column, tokens: list[str]) -> Column:
     return literal(text, "{{char}}", bot)
 
 
+def mend_tokens(text: Column) -> Column:
+    """Misspelt character tokens become ``{{char}}``."""
+    return rename(text, [("{{%s}}" % x, "{{char}}") for x in ("chaar", "character")])
+
+
 def user_token(text: Column) -> Column:
     """``You`` as a whole word becomes ``{{user}}``; two misspelt tokens are mended."""
     text = sub(text, "(?U)\\bYou\\b", "{{user}}")
-    return literal(literal(text, "{{chaar}}", "{{char}}"), "{{character}}", "{{char}}")
+    return mend_tokens(text)
 
 
 # -- parsing ----------------------------------------------------------------

@@ -15,7 +15,7 @@ REFUSALS = (
     "as an ai", "as a language model", "as an artificial intelligence", "i am an ai", "i'm an ai", "i am just a machine", "i'm only a program",
     "i cannot help with", "i can't help with", "i cannot assist", "i can't assist", "i am unable to", "i'm unable to", "i am not able to", "i'm not able to",
     "i cannot fulfil", "i can't fulfil", "i cannot comply", "i can't comply", "i cannot provide", "i can't provide", "i cannot create", "i can't create",
-    "i must decline", "i have to decline", "i won't be able to", "i will not be able to", "it is not appropriate", "it's not appropriate", "it would be inappropriate",
+    "i must decline", "i have to decline", "i won't be able to", "i will not be able to", "it's not appropriate", "it would be inappropriate", "it is not appropriate",
     "it is unethical", "it would be unethical", "it is illegal to", "goes against my", "against my programming", "against my guidelines", "my guidelines", "content policy",
     "i do not have personal", "i don't have personal", "i do not have feelings", "i don't have feelings", "i do not have opinions", "i don't have opinions", "i do not have access to", "i don't have access to",
     "my training data", "my knowledge cutoff", "knowledge cut-off", "real-time information", "i apologize, but", "i'm sorry, but i", "i am sorry, but i", "sorry, i cannot", "sorry, i can't",

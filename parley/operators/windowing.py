@@ -61,7 +61,7 @@ def windows(kinds: Column, costs: Column, budget: int, policy: str = "reference"
     return F.aggregate(ordinal, first.cast(_STATE), lambda s, i: step(s, i).cast(_STATE), lambda s: s["out"])
 
 
-def examples(episodes: DataFrame, budget: int = BUDGET, fmt: str = "metharme", policy: str = "reference", seed: int = picks.SEED) -> DataFrame:
+def examples(episodes: DataFrame, budget: int = BUDGET, fmt: str = "markers", policy: str = "reference", seed: int = picks.SEED) -> DataFrame:
     """``prompt, generation, identifier`` of every model turn, with its place ``ex`` in the episode.
 
     Other columns of the episodes stay. Episodes that are null, empty, or do

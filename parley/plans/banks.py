@@ -87,7 +87,7 @@ ACQUAINT = ("A talk between <MODEL> and <USER>.", "<MODEL> and <USER> get to kno
 #: Parts of inputs that show that an entry marked as counterfactual is factual.
 FACTS = ("water boils at", "the capital of france is paris", "the earth orbits the sun")
 #: Threads of these names hold no roleplay.
-NO_ROLEPLAY = ("ooc", "o.o.c", "character sheet", "character profile", "character list", "character roster")
+NO_ROLEPLAY = ("o.o.c", "ooc", *(f"character {x}" for x in ("list", "profile", "roster", "sheet")))
 BROKEN_THREADS = ("SAO: Aincrad (1x1 between",)
 BLOCKED_TAGS = ("cover art", "collaboration", "steam", "parser", "walkthrough", "inform 7", "many authors")
 REDACTIONS = tuple(f"[{x}REDACTED]" for x in ("NAME_IN_MESSAGE_", "", "FIRST_NAME_", "USERNAME_", "NAME_"))

@@ -21,7 +21,7 @@ class Config:
 
     tasks: list[str]
     output: str = ""
-    fmt: str = "metharme"
+    fmt: str = "markers"
     filters: list[str] = field(default_factory=list)
     max_length: int = windowing.BUDGET
     show: bool = False
@@ -85,19 +85,23 @@ def run(spark: SparkSession, config: Config) -> None:
 def parse(argv: list[str]) -> Config:
     p = argparse.ArgumentParser(prog="parley", description="Build conversational training examples.")
     names = lambda s: [x for x in s.split(",") if x]
-    p.add_argument("-t", "--tasks", type=names, required=True, help="names of tasks, parted by commas")
-    p.add_argument("-o", "--output-file", default="", help="folder for JSON Lines")
-    p.add_argument("-f", "--filters", type=names, default=[], help="names of filters, parted by commas")
-    p.add_argument("-l", "--max-length", type=int, default=windowing.BUDGET, help="tokens of an example")
-    p.add_argument("-m", "--format", default="metharme", help=", ".join(formats.FORMATS))
-    p.add_argument("-p", "--print", action="store_true", help="print examples and write nothing")
-    p.add_argument("-v", "--verbose", action="store_true")
-    p.add_argument("--seed", type=int, default=picks.SEED)
-    p.add_argument("--starting-index", type=int, default=0)
-    p.add_argument("--max-count", type=int, default=0)
-    p.add_argument("--mode", choices=tasks.MODES, default="reference")
-    p.add_argument("--policy", choices=windowing.POLICIES, default="reference")
-    p.add_argument("--data", default=None, help="folder of the sources")
+    options = {
+        "-t --tasks": dict(required=True, type=names, help="names of tasks, parted by commas"),
+        "-o --output-file": dict(help="folder for JSON Lines", default=""),
+        "-f --filters": dict(default=[], type=names, help="names of filters, parted by commas"),
+        "-l --max-length": dict(help="tokens of an example", default=windowing.BUDGET, type=int),
+        "-m --format": dict(default="markers", help=", ".join(formats.FORMATS)),
+        "-p --print": dict(help="print examples and write nothing", action="store_true"),
+        "-v --verbose": dict(help="log more", action="store_true"),
+        "--seed": dict(default=picks.SEED, type=int),
+        "--starting-index": dict(help="first example, from 1", default=0, type=int),
+        "--max-count": dict(help="number of examples; 0: all", default=0, type=int),
+        "--mode": dict(choices=tasks.MODES, default="reference"),
+        "--policy": dict(choices=windowing.POLICIES, default="reference"),
+        "--data": dict(help="folder of the sources"),
+    }
+    for flags, what in options.items():
+        p.add_argument(*flags.split(), **what)
     a = p.parse_args(argv)
     return Config(a.tasks, a.output_file, a.format, a.filters, a.max_length, a.print, a.seed, a.starting_index, a.max_count, a.mode, a.policy, a.data)
 

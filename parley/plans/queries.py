@@ -76,8 +76,8 @@ def _tok(c: str) -> str:
 
 
 _RENDER = {
-    "metharme": ("'<|' || kind || '|>' || utterance", "'<|model|>'"),
-    "pygmalion": ("CASE kind WHEN 'system' THEN '<BOT>''s Persona: ' || utterance || chr(10) || '<START>' ELSE '<BOT>: ' || utterance END", "chr(10) || '<BOT>: '"),
+    "markers": ("'<|' || kind || '|>' || utterance", "'<|model|>'"),
+    "persona": ("CASE kind WHEN 'system' THEN '<BOT>''s Persona: ' || utterance || chr(10) || '<START>' ELSE '<BOT>: ' || utterance END", "chr(10) || '<BOT>: '"),
     "alpaca": (f"CASE kind WHEN 'system' THEN {_q(formats.ALPACA_SYSTEM)} WHEN 'user' THEN '### Input:' ELSE '### Response:' END || chr(10) || utterance || chr(10) || chr(10)", "'### Response:' || chr(10)"),
     "minimal_alpaca": ("CASE kind WHEN 'model' THEN '### Response:' ELSE '### Instruction:' END || chr(10) || utterance || chr(10)", "'### Response:' || chr(10)"),
     "henkpaca": ("CASE kind WHEN 'system' THEN '### Instruction:' || chr(10) || utterance || chr(10) || '### Response:' || chr(10) ELSE '<BOT>: ' || utterance || chr(10) END", "'<BOT>: '"),
@@ -177,9 +177,9 @@ for _fmt in formats.FORMATS:
 
 
 def _window(policy: str, budget: int) -> None:
-    @query(f"window_{policy}", _sql_examples("metharme", policy, budget))
+    @query(f"window_{policy}", _sql_examples("markers", policy, budget))
     def window(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return windowing.examples(_episodes(spark, sf_dir), budget, "metharme", policy).select("identifier", "prompt", "generation")
+        return windowing.examples(_episodes(spark, sf_dir), budget, "markers", policy).select("identifier", "prompt", "generation")
 
 
 for _policy in windowing.POLICIES:
@@ -612,9 +612,9 @@ _page("emphasis", None, lambda c: html_md.loosen_emphasis(T.literal(c, "the", "t
 
 
 # -- more of the core ---------------------------------------------------------------
-@query("max_window_turns", _sql_windows("metharme", "reference", BUDGET) + " SELECT conv_id, max(end_ - start_) AS most, count(*) AS n FROM w GROUP BY conv_id")
+@query("max_window_turns", _sql_windows("markers", "reference", BUDGET) + " SELECT conv_id, max(end_ - start_) AS most, count(*) AS n FROM w GROUP BY conv_id")
 def max_window_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, said, _ = formats.lookup("metharme")
+    _, said, _ = formats.lookup("markers")
     e = _episodes(spark, sf_dir).select(F.col("ord").alias("conv_id"), F.transform("turns", lambda t: t["kind"]).alias("k"), F.transform("turns", lambda t: T.token_estimate(said(t))).alias("c"))
     w = e.select("conv_id", F.explode(windowing.windows(F.col("k"), F.col("c"), BUDGET - windowing.RESERVE)).alias("w"))
     return w.groupBy("conv_id").agg(F.max((F.col("w.end") - F.col("w.start")).cast("bigint")).alias("most"), F.count("*").alias("n"))

@@ -407,11 +407,10 @@ def supercot(spark: SparkSession, root: str, seed: int, mode: str) -> DataFrame:
 def whocars(spark: SparkSession, root: str, seed: int, mode: str) -> DataFrame:
     d = _indexed(_read(spark, "whocars", root)).filter("endpoint = 'openai'").filter(F.col("model").contains("gpt-4")).filter(F.get("prompt_json", F.lit(0))["role"] == "system")
     d = d.withColumn("identifier", _id("whocars-", F.col("idx")))
-    mended = lambda c: T.rename(c, [("{{chaar}}", "{{char}}"), ("{{character}}", "{{char}}")])
 
     def said(m: Column) -> Column:
         text = T.strip(m["content"])
-        return turn(F.when(m["role"] == "system", T.user_token(text)).otherwise(mended(text)), F.when(m["role"] == "system", "system").when(m["role"] == "user", "user").otherwise("model"))
+        return turn(F.when(m["role"] == "system", T.user_token(text)).otherwise(T.mend_tokens(text)), F.when(m["role"] == "system", "system").when(m["role"] == "user", "user").otherwise("model"))
 
     return _episodes(d, F.transform("prompt_json", said))
 

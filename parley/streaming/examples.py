@@ -15,7 +15,7 @@ def read_episodes(spark: SparkSession, path: str, max_files: int = 100) -> DataF
     return spark.readStream.schema(f"identifier string, turns {TURNS}, at timestamp").option("maxFilesPerTrigger", max_files).json(path)
 
 
-def examples(episodes: DataFrame, budget: int = windowing.BUDGET, fmt: str = "metharme", policy: str = "reference", delay: str = "1 hour", seed: int = picks.SEED) -> DataFrame:
+def examples(episodes: DataFrame, budget: int = windowing.BUDGET, fmt: str = "markers", policy: str = "reference", delay: str = "1 hour", seed: int = picks.SEED) -> DataFrame:
     """Examples without refusals; of equal ones within ``delay`` of each other one stays."""
     made = windowing.examples(episodes, budget, fmt, policy, seed).filter(~filters.refuses(F.col("generation")))
     made = made.withColumn("digest", F.sha2(F.concat("prompt", "generation").cast("binary"), 512))

@@ -60,7 +60,7 @@ def _episode(spark, said, name="e"):
 @pytest.mark.parametrize(
     ("fmt", "prompt", "reply"),
     [
-        ("metharme", "<|system|>S<|user|>U<|model|>", "M"), ("Pygmalion", "<BOT>'s Persona: S\n<START><BOT>: U\n<BOT>: ", "M"), ("minimal_alpaca", "### Instruction:\nS\n### Instruction:\nU\n### Response:\n", "M"),
+        ("markers", "<|system|>S<|user|>U<|model|>", "M"), ("Persona", "<BOT>'s Persona: S\n<START><BOT>: U\n<BOT>: ", "M"), ("minimal_alpaca", "### Instruction:\nS\n### Instruction:\nU\n### Response:\n", "M"),
         ("henkpaca", "### Instruction:\nS\n### Response:\n<BOT>: U\n<BOT>: ", "M"), ("chatml", "<|im_start|>system\nS<|im_end|>\n<|im_start|>user\nU<|im_end|>\n<|im_start|>assistant\n", "M<|im_end|>"),
         ("chatml_named", "<|im_start|>system name=<BOT>\nS<|im_end|>\n<|im_start|>user name=<BOT>\nU<|im_end|>\n<|im_start|>assistant name=<BOT>\n", "M<|im_end|>"), ("alpaca", formats.ALPACA_SYSTEM + "\nS\n\n### Input:\nU\n\n### Response:\n", "M"),
     ],

@@ -148,13 +148,12 @@ def _adventure(story, least):
     out, cur, n = [], "", 0
     for line in story.splitlines():
         if line.startswith("> "):
-            said = line.replace("> ", "").strip()
-            if said:
-                out.append(("user", said))
+            if command := "".join(line.split("> ")).strip():
+                out.append(("user", command))
             continue
         cur, n = cur + line.strip() + "\n", n + len(line.split())
         if n >= least:
-            out.append(("model", re.sub("\n{3,}", "\n\n", cur)))
+            out.append(("model", re.compile("\n\n\n+").sub("\n\n", cur)))
             cur, n = "", 0
     return out
 
