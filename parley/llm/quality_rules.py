@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 from parley.llm.session import ship
 
 WORD = re.compile(r"[^\x20\x09-\x0d]+")
+DIGIT = re.compile("[0-9]")
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 MIN_WORDS = 20
@@ -79,17 +81,27 @@ def repeated(words: list[str], window: int = WINDOW) -> int:
 
 def base(text: str | None) -> tuple[int, int, int, int, int, bool]:
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed."""
-    text = text or ""
-    words = WORD.findall(text)
-    lines = [x for x in text.split("\n") if WORD.search(x)]
+    return _base(text or "", lines_of(text or ""))
+
+
+def lines_of(text: str) -> list[tuple[str, list[str]]]:
+    """The lines that have a word, with their words; no word goes beyond a line."""
+    return [(x, w) for x in text.split("\n") if (w := WORD.findall(x))]
+
+
+def _base(text: str, lines: list[tuple[str, list[str]]]) -> tuple[int, int, int, int, int, bool]:
+    words = [w for _, ws in lines for w in ws]
     again = repeated(words)
     n = len(words)
-    return n, sum(map(len, words)), sum(map(text.count, SYMBOLS)), len(lines) - len(set(lines)), again, n < MIN_WORDS or 100 * again > MAX_REPEAT_PERCENT * n
+    return n, sum(map(len, words)), sum(map(text.count, SYMBOLS)), len(lines) - len({x for x, _ in lines}), again, n < MIN_WORDS or 100 * again > MAX_REPEAT_PERCENT * n
 
 
 def observe(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Features of every line that has a word, and its number of words."""
-    lines = [(x, w) for x in text.split("\n") if (w := WORD.findall(x))]
+    return _observe(lines_of(text))
+
+
+def _observe(lines: list[tuple[str, list[str]]]) -> tuple[np.ndarray, np.ndarray]:
     x = np.zeros((len(lines), N_FEATURES), np.float32)
     seen: set[str] = set()
     for k, (line, words) in enumerate(lines):
@@ -101,10 +113,10 @@ def observe(text: str) -> tuple[np.ndarray, np.ndarray]:
         f.append(6 if last in ".?…" else 7 if last in "!" else 8 if last in ",;:" else 9 if last.isalnum() else 10)
         f += [11] * line[:1].isupper() + [12] * line.isupper()
         f += [13] * (symbols > 0) + [14] * (symbols > 0.1 * n) + [15] * (symbols > 0.5 * n)
-        f += [16] * (line.count("!") > 0.5 * n) + [17] * (sum(map(line.count, "0123456789")) > 0.2 * chars)
+        f += [16] * (line.count("!") > 0.5 * n) + [17] * (len(DIGIT.findall(line)) > 0.2 * chars)
         f += [18] * any(u in line for u in LINKS) + [19] * (NOTICE.search(line) is not None)
         f += [20] * (n > 5 and distinct < 0.7 * n) + [21] * (n > 5 and distinct < 0.4 * n)
-        f += [22] * (sum(a == b for a, b in zip(words, words[1:])) > 0.2 * n)
+        f += [22] * (sum(map(eq, words, words[1:])) > 0.2 * n)
         f += [23] * (line in seen) + [24] * (k == 0) + [25] * (k == len(lines) - 1)
         seen.add(line)
         x[k, f] = 1
@@ -176,7 +188,11 @@ def viterbi(x: np.ndarray, emit: np.ndarray, move: np.ndarray) -> np.ndarray:
 
 def content_share(text: str, emit: np.ndarray, move: np.ndarray) -> float:
     """Share of the words that stand in content lines; 0 without words."""
-    x, n = observe(text)
+    return _share(lines_of(text), emit, move)
+
+
+def _share(lines: list[tuple[str, list[str]]], emit: np.ndarray, move: np.ndarray) -> float:
+    x, n = _observe(lines)
     return float(n[viterbi(x, emit, move) == 0].sum() / n.sum()) if len(n) else 0.0
 
 
@@ -224,8 +240,9 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
             rows = []
             for at in range(0, b.num_rows, 256):
                 for text in b.column("text").slice(at, 256).to_pylist():
-                    counts = base(text)
-                    share = None if counts[-1] else content_share(text, emit, move)
+                    lines = lines_of(text or "")
+                    counts = _base(text or "", lines)
+                    share = None if counts[-1] else _share(lines, emit, move)
                     rows.append((*counts, share is not None and share >= CONTENT_SHARE, share))
             columns = list(zip(*rows)) if rows else [()] * 8
             types = [*[pa.int64()] * 5, pa.bool_(), pa.bool_(), pa.float64()]
