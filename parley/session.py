@@ -9,15 +9,20 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
+#: Bytes of one Arrow batch at most: a batch counts in the JVM and in the Python worker, for each task.
+BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 
 
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors, once per application.
 
     Python workers then import it wherever they run, also those that replace a
-    lost executor: Spark serves the archive again to each new one.
+    lost executor: Spark serves the archive again to each new one. Batches that
+    go to them are bounded by their bytes, since texts can be very long.
     """
     sc = spark.sparkContext
+    if int(spark.conf.get(BATCH, str(1 << 30)).rstrip("bB") or 0) > BATCH_BYTES:
+        spark.conf.set(BATCH, BATCH_BYTES)
     if sc.applicationId in _shipped:
         return
     root = os.path.dirname(os.path.abspath(__file__))
