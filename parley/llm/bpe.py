@@ -41,9 +41,9 @@ UNSURE = regex.compile(r"[^\x00-՗]")
 ODD = re.compile("[^\n\x20-\x7e\xa1-\u0557]")
 DOUBLED = ("  ", " \n", "\n ", "\n\n")
 #: Pieces and words remembered per worker, in each of two generations.
-CACHE = 200_000
+CACHE = 80_000
 #: Characters of text that are looked up together.
-BLOCK = 2_000_000
+BLOCK = 1_000_000
 _NONE = np.int64(1) << 40
 
 

@@ -31,7 +31,7 @@ THRESHOLD = 0.3
 SAMPLE = 4_000
 EPOCHS, ALPHA, BETA, L1, L2 = 3, 2.0, 1.0, 0.0005, 0.0001
 #: Words whose hash and form a worker remembers.
-CACHE = 400_000
+CACHE = 120_000
 _MASK = np.uint64(DIM - 1)
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 

@@ -37,7 +37,7 @@ CONTENT_SHARE = 0.5
 #: Labelled documents that the field is fitted on at most, and lines of each: the fit is bounded, the verdicts are not.
 SAMPLE, SAMPLE_LINES = 1_500, 60
 STEPS, RATE, L2 = 50, 0.5, 1e-3
-CACHE = 400_000
+CACHE = 120_000
 LINKS = ("http://", "https://", "www.", "@")
 NOTICE = re.compile(r"(?i)\b(?:copyright|licen[cs]ed?|all rights reserved|cookies?|subscribe|newsletter|terms of (?:use|service)|privacy policy)\b|©")
 N_FEATURES = 26
