@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import zipfile
@@ -17,23 +18,29 @@ def ship(spark: SparkSession) -> None:
     """Send this package to the executors, once per application.
 
     Python workers then import it wherever they run, also those that replace a
-    lost executor: Spark serves the archive again to each new one. Batches that
+    lost executor: the archive lies in the cluster's shared folder (in a
+    temporary one only where the session names none, as in tests). Batches that
     go to them are bounded by their bytes, since texts can be very long.
     """
     sc = spark.sparkContext
-    if int(spark.conf.get(BATCH, str(1 << 30)).rstrip("bB") or 0) > BATCH_BYTES:
+    if sc._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(BATCH)) > BATCH_BYTES:
         spark.conf.set(BATCH, BATCH_BYTES)
     if sc.applicationId in _shipped:
         return
     root = os.path.dirname(os.path.abspath(__file__))
-    package = os.path.basename(root)
-    archive = os.path.join(tempfile.mkdtemp(), f"{package}.zip")
-    with zipfile.ZipFile(archive, "w") as z:
+    package, made = os.path.basename(root), io.BytesIO()
+    with zipfile.ZipFile(made, "w") as z:
         for folder, _, files in os.walk(root):
             for name in files:
                 if name.endswith(".py"):
                     full = os.path.join(folder, name)
                     z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    archive = f"{(shared or tempfile.mkdtemp()).rstrip('/')}/{package}-{sc.applicationId}.zip"
+    at = sc._jvm.org.apache.hadoop.fs.Path(archive)
+    out = at.getFileSystem(sc._jsc.hadoopConfiguration()).create(at, True)
+    out.write(bytearray(made.getvalue()))
+    out.close()
     sc.addPyFile(archive)
     _shipped.add(sc.applicationId)
 
