@@ -39,8 +39,8 @@ TREES, DEPTH, SEED = 24, 8, 11
 THRESHOLD = 0.5
 MASK = "[SECRET]"
 KEY, VALUES = "__parley_key", "__parley_values"
-#: Documents with secrets up to which their lists are broadcast.
-BROADCAST_DOCS = 100_000
+#: Characters of secrets up to which the lists of the documents that hold them are broadcast.
+BROADCAST_CHARS = 16_000_000
 
 
 def candidates(docs: DataFrame) -> DataFrame:
@@ -165,7 +165,8 @@ def redact(docs: DataFrame) -> DataFrame:
     found = judged(docs.select(F.lit(0).alias("doc_id"), "text")).filter("is_secret")
     found = cut(found.groupBy("key").agg(F.array_sort(F.collect_set("value"), lambda a, b: F.length(b) - F.length(a)).alias("values")))
     found = found.toDF(KEY, VALUES)
-    small = found.count() <= BROADCAST_DOCS
+    size = found.agg(F.sum(F.aggregate(VALUES, F.lit(64).cast("bigint"), lambda n, v: n + F.length(v)))).first()[0]
+    small = (size or 0) <= BROADCAST_CHARS
     out = docs.withColumn(KEY, F.xxhash64("text")).join(F.broadcast(found) if small else found, KEY, "left")
     clean: Column = F.when(F.col(VALUES).isNull(), F.col("text")).otherwise(F.aggregate(VALUES, F.col("text"), lambda t, v: F.replace(t, v, F.lit(MASK))))
     out = out.withColumn("text", clean).select(*[F.col(f"`{c}`") for c in columns])
