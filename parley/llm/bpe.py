@@ -270,6 +270,10 @@ class Codec:
         for parts in block:
             yield b"".join(b"".join(map(ids.__getitem__, p)) if isinstance(p, list) else p.to_bytes(4, "little") for p in parts)
 
+    def forget(self) -> None:
+        """Empty the memories: a worker that waits for its next task should hold little."""
+        self.words, self.pieces = Memory(self.learn), Memory(self._learn_pieces)
+
     def encode(self, text: str | None) -> list[int]:
         return np.frombuffer(next(self.encode_batch([text])), "<u4").tolist()
 
@@ -343,5 +347,6 @@ def _map(docs: DataFrame, path: str, column: str, new: list, work) -> DataFrame:
             columns = [pa.array([x for part in made for x in part[i]], t) for i, t in enumerate(types)]
             kept = [pa.nulls(batch.num_rows, pa.string()) if f.name == drop else c for f, c in zip(batch.schema, batch.columns)]
             yield pa.RecordBatch.from_arrays([*kept, *columns], names=[*batch.schema.names, *(n for n, _, _ in new)])
+        coder.forget()
 
     return docs.mapInArrow(run, out)

@@ -65,6 +65,7 @@ def pieces(docs: DataFrame, path: str, size: int = SIZE, separator: int = SEPARA
                     crc.append(zlib.crc32(raw[4 * at : 4 * (at + m)]))
                     at += m
             yield pa.RecordBatch.from_arrays([pa.array(doc, batch.schema.field("doc_id").type), pa.array(k, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, crc))], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        coder.forget()
 
     docs = docs.select("doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()

@@ -144,6 +144,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.
         for b in batches:
             vectors = [features(t).astype("<i4").tobytes() for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("h"), b.column("doc_id"), b.column("quality"), pa.array(vectors, pa.binary())], names=["h", "doc_id", "quality", "x"])
+        _words.clear()  # a worker that waits for its next task should hold little
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     vectors = rows.select("h", "doc_id", "quality", "text").mapInArrow(make, f"h long, doc_id {kind}, quality int, x binary")
@@ -170,6 +171,7 @@ def score(docs: DataFrame, weights: np.ndarray, bias: float, text: str = "text",
         for b in batches:
             scores = [weigh(features(t), w, b0) for at in range(0, b.num_rows, 256) for t in b.column(text).slice(at, 256).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores, pa.float64())], names=[*b.schema.names, into])
+        _words.clear()
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(into, T.DoubleType())]))
 

@@ -247,6 +247,7 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
             columns = list(zip(*rows)) if rows else [()] * 8
             types = [*[pa.int64()] * 5, pa.bool_(), pa.bool_(), pa.float64()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(c, t) for c, t in zip(columns, types))], names=["doc_id", *NAMES])
+        _hashes.clear()  # a worker that waits for its next task should hold little
 
     return docs.mapInArrow(run, f"doc_id {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, content_share double")
 
