@@ -33,12 +33,12 @@ RSD = 0.2
 #: Estimates from MIN_SITES / NEAR to MIN_SITES * NEAR are near the threshold.
 NEAR = 3
 #: A document with more than this percentage of its characters in boilerplate lines is left whole:
-#: it is a copy as a whole, a matter for document dedup, and not a text with boilerplate around it.
+#: the rule of ``op7_line_dedup`` and its SQL. ``cleaned`` leaves whole only those that have a copy.
 MAX_PERCENT = 50
 #: Boilerplate line hashes up to which they are broadcast (8 bytes each).
 BROADCAST_LINES = 1_000_000
 WORD = re.compile(r"[^\x20\x09-\x0d]")
-KEY, DROP = "__parley_key", "__parley_drop"
+KEY, DROP, COPIED = "__parley_key", "__parley_drop", "__parley_copied"
 
 
 def _hashes(text: Column) -> Column:
@@ -62,31 +62,67 @@ def boilerplate(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITE
     return sure.union(exact.filter(F.col("n_sites") >= min_sites).select("line"))
 
 
-def strip(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES, max_percent: int = MAX_PERCENT, names: tuple[str, str] = ("n_lines", "n_removed")) -> DataFrame:
+def strip(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES, max_percent: int = MAX_PERCENT, names: tuple[str, str] = ("n_lines", "n_removed"), copies: bool = False) -> DataFrame:
     """``docs``, all columns and rows, with boilerplate lines taken out of ``text``.
 
     Adds ``n_lines`` (lines of the text as it came) and ``n_removed``, by the
     names given, in place of columns of these names. Null texts stay null, with no lines. A document
     that is boilerplate for more than ``max_percent`` of its characters (line
-    feeds apart) is left whole. All copies of a line go, wherever they stand.
+    feeds apart) is left whole; with ``copies``, only if another row has the same
+    text, so that document dedup keeps one of them. All copies of a line go,
+    wherever they stand.
     """
     ship(docs.sparkSession)
     docs = docs.drop(*names)
     found = cut(boilerplate(docs, site, min_sites))
     n = found.count()
     out = T.StructType([*docs.schema.fields, *(T.StructField(n, T.LongType()) for n in names)])
-    if n <= BROADCAST_LINES:
-        shared = docs.sparkSession.sparkContext.broadcast(frozenset(r["line"] for r in found.collect()))
-        return docs.mapInArrow(lambda batches: _rewrite(batches, shared, None, max_percent, names), out)
-    hits = docs.select(F.xxhash64("text").alias(KEY), F.explode(_hashes(F.col("text"))).alias("line")).distinct()
-    hits = hits.join(found, "line").groupBy(KEY).agg(F.collect_set("line").alias(DROP))
-    with_hits = docs.withColumn(KEY, F.xxhash64("text")).join(hits, KEY, "left").drop(KEY)
-    return with_hits.mapInArrow(lambda batches: _rewrite(batches, None, DROP, max_percent, names), out)
+    shared = docs.sparkSession.sparkContext.broadcast(frozenset(r["line"] for r in found.collect())) if n <= BROADCAST_LINES else None
+    drop = None if shared else DROP
+    if drop:
+        hits = docs.select(F.xxhash64("text").alias(KEY), F.explode(_hashes(F.col("text"))).alias("line")).distinct()
+        hits = hits.join(found, "line").groupBy(KEY).agg(F.collect_set("line").alias(DROP))
+        docs = docs.withColumn(KEY, F.xxhash64("text")).join(hits, KEY, "left").drop(KEY)
+    if copies:
+        # Few texts are mostly boilerplate: their hashes are counted, and those of more than one row come back.
+        over = docs.mapInArrow(lambda batches: _over(batches, shared, drop, max_percent), f"{KEY} long")
+        copied = cut(over.groupBy(KEY).agg(F.count("*").alias(COPIED)).filter(F.col(COPIED) > 1))
+        small = copied.count() <= BROADCAST_LINES
+        docs = docs.withColumn(KEY, F.xxhash64("text")).join(F.broadcast(copied) if small else copied, KEY, "left").drop(KEY)
+    return docs.mapInArrow(lambda batches: _rewrite(batches, shared, drop, max_percent, names, COPIED if copies else None), out)
 
 
-def _rewrite(batches: Iterator[pa.RecordBatch], shared, column: str | None, max_percent: int, added: tuple[str, str]) -> Iterator[pa.RecordBatch]:
+def _signed(h: int) -> int:
+    return h - (1 << 64) if h >> 63 else h
+
+
+def _kept(text: str | None, known: frozenset) -> tuple[list[str], list[str]]:
+    """All lines of a text, and those that stay."""
+    lines = [] if text is None else text.split("\n")
+    return lines, [x for x in lines if _signed(xxhash.xxh64_intdigest(x.encode(), 42)) not in known or WORD.search(x) is None] if known else lines
+
+
+def _mostly(lines: list[str], kept: list[str], max_percent: int) -> bool:
+    """Whether more than ``max_percent`` of the characters would go."""
+    return sum(map(len, lines)) * (100 - max_percent) > sum(map(len, kept)) * 100
+
+
+def _over(batches: Iterator[pa.RecordBatch], shared, column: str | None, max_percent: int) -> Iterator[pa.RecordBatch]:
+    """Hashes of the texts, of each row, that are mostly boilerplate."""
+    known = shared.value if shared else frozenset()
+    for b in batches:
+        drops = b.column(column).to_pylist() if column else None
+        texts = b.column(b.schema.get_field_index("text"))
+        keys = []
+        for k in range(b.num_rows):
+            text = texts[k].as_py()
+            if _mostly(*_kept(text, known if drops is None else frozenset(drops[k] or ())), max_percent):
+                keys.append(_signed(xxhash.xxh64_intdigest(text.encode(), 42)))
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64())], names=[KEY])
+
+
+def _rewrite(batches: Iterator[pa.RecordBatch], shared, column: str | None, max_percent: int, added: tuple[str, str], copied: str | None = None) -> Iterator[pa.RecordBatch]:
     known = shared.value if shared else frozenset()
-    signed = lambda h: h - (1 << 64) if h >> 63 else h
     for b in batches:
         texts, n_lines, n_removed = [], [], []
         drops = b.column(column).to_pylist() if column else None
@@ -95,22 +131,25 @@ def _rewrite(batches: Iterator[pa.RecordBatch], shared, column: str | None, max_
             text = b.column(at)[k].as_py()
             if drops is not None:
                 known = frozenset(drops[k] or ())
-            lines = [] if text is None else text.split("\n")
-            kept = [x for x in lines if signed(xxhash.xxh64_intdigest(x.encode(), 42)) not in known or WORD.search(x) is None] if known else lines
-            if sum(map(len, lines)) * (100 - max_percent) > sum(map(len, kept)) * 100:
+            lines, kept = _kept(text, known)
+            if _mostly(lines, kept, max_percent) and (copied is None or b.column(copied)[k].is_valid):
                 kept = lines
             texts.append(text if len(kept) == len(lines) else "\n".join(kept))
             n_lines.append(len(lines))
             n_removed.append(len(lines) - len(kept))
-        columns = [c if i != at else pa.array(texts, pa.string()) for i, c in enumerate(b.columns) if b.schema.names[i] != column]
-        names = [x for x in b.schema.names if x != column]
+        columns = [c if i != at else pa.array(texts, pa.string()) for i, c in enumerate(b.columns) if b.schema.names[i] not in (column, copied)]
+        names = [x for x in b.schema.names if x not in (column, copied)]
         yield pa.RecordBatch.from_arrays([*columns, pa.array(n_lines, pa.int64()), pa.array(n_removed, pa.int64())], names=[*names, *added])
 
 
 def cleaned(docs: DataFrame) -> DataFrame:
-    """``strip`` with the columns of ``docs`` alone; a column ``n_chars`` follows the new text."""
+    """``strip`` with the columns of ``docs`` alone; a column ``n_chars`` follows the new text.
+
+    Only a text that another row has too is left whole: what nothing else
+    holds loses its boilerplate lines, however many they are.
+    """
     columns = docs.columns
-    out = strip(docs, names=("__parley_lines", "__parley_removed")).select(*[F.col(f"`{c}`") for c in columns])
+    out = strip(docs, names=("__parley_lines", "__parley_removed"), copies=True).select(*[F.col(f"`{c}`") for c in columns])
     if "n_chars" in columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out

@@ -306,6 +306,18 @@ def test_line_dedup_edges(spark):
     assert [r["text"] for r in rows] == ODD and {r["n_lines"] for r in rows} == {"mine"}
 
 
+def test_line_dedup_leaves_copies_alone_whole(spark, monkeypatch):
+    shared, second = "Subscribe to our letter.", "All rights are kept by us."
+    texts = [f"Line {k} of its own text, long enough to be most of it.\n{shared}\n{second}" for k in range(12)]
+    texts += [f"{shared}\nx {second[:2]}", f"{shared}\n{second}", f"{shared}\ny", f"{shared}\ny", None, ""]
+    d = docs(spark, texts, [f"s{k}" for k in range(12)])
+    for bound in (line_dedup.BROADCAST_LINES, 0):
+        monkeypatch.setattr(line_dedup, "BROADCAST_LINES", bound)
+        rows = line_dedup.cleaned(d).orderBy("doc_id").collect()
+        assert [r["text"] for r in rows[:12]] == [t.split("\n")[0] for t in texts[:12]]
+        assert [r["text"] for r in rows[12:]] == ["x Al", "", f"{shared}\ny", f"{shared}\ny", None, ""] and rows[12]["n_chars"] == 4
+
+
 # -- 8 ------------------------------------------------------------------------
 def test_packing(spark, library):
     rng = random.Random(6)
