@@ -5,6 +5,11 @@ Every text becomes the set of hashes of its two-word shingles. One permutation
 the value of a filled one that a second hash chain names for it, the same for
 all documents (optimal densification). Bands of ``ROWS`` bins make buckets.
 
+Sets of up to ``SMALL`` shingles fill too few bins for that, so they have no
+bands but an exact way: near sets share one of their rarest shingles (a prefix
+of each set, by the number of sets that hold a shingle), and all pairs of sets
+that do are confirmed.
+
 Equal sets are folded first, so a group of thousands of copies is one row. In
 each bucket all members are joined to one hub, a star, never to each other;
 the hub is the bucket's smallest member, so the bands of one cluster name the
@@ -31,6 +36,8 @@ BIN_BITS, ROWS = 7, 4
 BINS = 1 << BIN_BITS
 #: Links need 100 * intersection >= PERCENT * union.
 PERCENT = 75
+#: Shingles up to which a set's links are found exactly, by its rarest shingles.
+SMALL = 40
 #: Attempts of an empty bin to find a filled one before it takes the one at a fixed place.
 TRIES = 8
 #: Hubs of a bucket in one later round.
@@ -124,6 +131,22 @@ def _unlike(a: str, b: str) -> Column:
     return 100 * F.least(a, b) < PERCENT * F.greatest(a, b)
 
 
+def _small_pairs(folded: DataFrame) -> DataFrame:
+    """``a, b``: all pairs that may be near with a set of ``SMALL`` shingles or less in them.
+
+    ``small`` holds the shingles of sets of up to the size that such a set can be near to.
+    """
+    own = ["k1", "k2", "n", "rep"]
+    held = folded.select(*own, F.explode("small").alias("h"))
+    common = held.groupBy("h").agg(F.count("*").alias("sets")).filter("sets > 1")
+    # Shingles of one set alone are the rarest and take the first places; they make no pairs.
+    held = held.join(common, "h").groupBy(*own).agg(F.sort_array(F.collect_list(F.struct("sets", "h"))).alias("common"))
+    places = F.floor((100 - PERCENT) * F.col("n") / 100) + 1 - (F.col("n") - F.size("common"))
+    first = held.select("rep", "n", F.explode(F.slice("common", F.lit(1), F.greatest(places, F.lit(0)).cast("int"))).alias("c")).select("rep", "n", "c.h")
+    pairs = first.join(first.toDF("hub", "hub_n", "h"), "h").filter((F.col("rep") > F.col("hub")) & (F.least("n", "hub_n") <= SMALL) & ~_unlike("n", "hub_n"))
+    return pairs.select(F.col("rep").alias("a"), F.col("hub").alias("b"))
+
+
 def groups(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every row of ``doc_id, text``.
 
@@ -134,14 +157,15 @@ def groups(docs: DataFrame) -> DataFrame:
     """
     docs = docs.select("doc_id", "text")
     made = docs.select("doc_id", shingles(F.col("text")).alias("s"))
-    base = cut(made.select("doc_id", F.size("s").alias("n"), F.xxhash64("s").alias("k1"), F.xxhash64(F.lit(1), "s").alias("k2"), bands(F.col("s")).alias("bands")))
-    folded = base.filter("n > 0").groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
+    base = cut(made.select("doc_id", F.size("s").alias("n"), F.xxhash64("s").alias("k1"), F.xxhash64(F.lit(1), "s").alias("k2"), F.when(F.size("s") > SMALL, bands(F.col("s"))).alias("bands"), F.when(F.size("s") <= 100 * SMALL // PERCENT, F.col("s")).alias("small")))
+    folded = base.filter("n > 0").groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("small").alias("small"))
     spread = folded.select("rep", "n", F.explode("bands").alias("band"))
     shared = spread.groupBy("band").agg(F.min(F.struct("rep", "n")).alias("hub"), F.count("*").alias("m")).filter("m > 1")
     stars = spread.join(shared, "band").select("band", "rep", "n", "hub")
     stars = cut(stars)
     pairs = stars.filter((F.col("rep") != F.col("hub.rep")) & ~_unlike("n", "hub.n")).select(F.col("rep").alias("a"), F.col("hub.rep").alias("b")).distinct()
-    links = cut(_confirm(cut(pairs), docs))
+    pairs = cut(pairs.union(_small_pairs(folded)).distinct())
+    links = cut(_confirm(pairs, docs))
     left = stars.select("band", "rep", "n")
     comp = components(links)
     while True:

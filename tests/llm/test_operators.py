@@ -261,6 +261,20 @@ def test_near_dedup_against_brute_force(spark):
     assert {r["doc_id"] for r in kept.collect()} == {k for k, (_, c) in enumerate(want) if k == c} and kept.columns == docs(spark, texts).columns
 
 
+def test_near_dedup_of_short_texts(spark):
+    rng = random.Random(12)
+    texts = []
+    for k in range(150):  # pairs at or just above the threshold, of different sizes
+        n = 3 + k % 18
+        words = [f"v{k}x{j}" for j in range(n + 1)] if k % 3 else [f"c{rng.randrange(60)}" for _ in range(n + 1)]
+        texts += [" ".join(words), " ".join([*words, *(f"e{k}x{j}" for j in range(max(1, n // 3)))])]
+    base = [f"t{j}" for j in range(41)]
+    texts += [" ".join(base), " ".join([*base, *(f"u{j}" for j in range(13))]), "a b a b a", "b a b"]
+    rng.shuffle(texts)
+    got = near_dedup.groups(docs(spark, texts)).orderBy("doc_id").collect()
+    assert [(r["n_shingles"], r["component_id"]) for r in got] == _groups(texts)
+
+
 def test_near_dedup_edges(spark):
     assert near_dedup.groups(docs(spark, [])).count() == 0
     d = docs(spark, ["a b c", "a b c", None]).withColumn("doc_id", F.when(F.col("doc_id") > 0, F.col("doc_id")))
