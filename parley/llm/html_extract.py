@@ -4,8 +4,9 @@ A page is a sequence of words and tags. Words score by what encloses them,
 tags by what they are, both as logarithms of odds counted on labelled pages
 (``LABELLED``: templates of pages of many makes, each part marked as content or
 not); a tag's score is never positive, so tags part regions and words join
-them. One linear scan finds the contiguous region of the highest score. Inside
-it, blocks whose enclosing elements speak against content (an advert between
+them. One linear scan finds the contiguous region of the highest score. A block
+that speaks against content costs it nothing if it stands between two parts of
+one content parent. Inside the region, blocks whose enclosing elements speak against content (an advert between
 two paragraphs) are left out; nothing else is dropped and nothing is capped.
 """
 
@@ -73,7 +74,7 @@ def marks(tag: str, attrs: str) -> tuple[str, ...]:
 
 
 def scan(page: str) -> Iterator[tuple[str, object]]:
-    """The page as ("text", (run of text, enclosing elements)), ("open" or "close", (tag, marks))."""
+    """The page as ("text", (run of text, enclosing elements)), ("open" or "close", (tag, marks, enclosing elements))."""
     stack: list[tuple[str, tuple[str, ...]]] = []
     at = 0
     for m in TOKEN.finditer(page):
@@ -83,7 +84,7 @@ def scan(page: str) -> Iterator[tuple[str, object]]:
         tag = (m["tag"] or "").lower()
         if not tag:
             if m["raw"]:
-                yield "open", (m["raw"].lower(), ())
+                yield "open", (m["raw"].lower(), (), stack)
             continue
         if m["end"]:
             for k in range(len(stack) - 1, -1, -1):
@@ -92,7 +93,7 @@ def scan(page: str) -> Iterator[tuple[str, object]]:
                     break
                 if stack[k][0] in SCOPE and tag in INLINE | {"p", "li"}:
                     break
-            yield "close", (tag, ())
+            yield "close", (tag, (), stack)
             continue
         what = marks(tag, m["attrs"])
         if tag in P_CLOSERS:
@@ -107,7 +108,7 @@ def scan(page: str) -> Iterator[tuple[str, object]]:
                 del stack[k:]
             elif stack[k][0] in SCOPE:
                 break
-        yield "open", (tag, what)
+        yield "open", (tag, what, stack)
         if tag not in VOID and not m["attrs"].endswith("/"):
             stack.append((tag, what))
     if at < len(page):
@@ -144,6 +145,8 @@ def model() -> tuple[dict[str, float], dict[str, float]]:
 #: Tags of running text are found in menus and notes too; what they enclose is left to their surroundings.
 NEUTRAL = frozenset(f"<{t}>" for t in "p div span ul ol li a b i em strong table tr td th tbody thead h1 h2 h3 h4 h5 h6 section body html br blockquote pre dl dt dd figure figcaption code".split())
 GOOD = frozenset("<article> <main>".split())
+#: Elements that a part of running text may be in without being apart from its neighbours.
+TEXTUAL = frozenset("p ul ol li table tr td th tbody thead h1 h2 h3 h4 h5 h6 blockquote pre dl dt dd figure figcaption code".split())
 
 
 def judge(stack: list[tuple[str, tuple[str, ...]]], words: dict[str, float]) -> float:
@@ -158,20 +161,38 @@ def judge(stack: list[tuple[str, tuple[str, ...]]], words: dict[str, float]) ->
     return worst if worst < -1 else 1 + best
 
 
+def _beside(block: tuple, left: tuple, right: tuple, words: dict[str, float]) -> bool:
+    """Whether a block against content stands between two parts of one content parent; each as its enclosing elements."""
+    at = next(k for k, x in enumerate(block) if judge((x,), words) < -1)
+    # Elements are compared by identity: two of the same name are not the same parent.
+    if not all(len(x) >= at and all(p is q for p, q in zip(x, block[:at])) for x in (left, right)):
+        return False
+    if all(tag in TEXTUAL for x in (left, right) for tag, _ in x[at:]):
+        return True
+    if any(mark in GOOD for _, what in block[:at] for mark in what):
+        return True
+    return judge(block[:at], words) > 1 and judge(left, words) == judge(right, words)
+
+
 def extract(page: str | None) -> str:
     """Main text of a page; empty for a null or empty page and one without content."""
     words, tags = model()
-    blocks: list[list] = []  # text, words' score; a block is a run of text between tags that are not inline
+    blocks: list[list] = []  # text, words' score, enclosing elements; a block is a run of text between tags that are not inline
     scores: list[float] = []  # of each block, with the tags before it
-    text, score, before = [], 0.0, 0.0
+    text, score, around, before = [], 0.0, (), 0.0
     depth: dict[tuple, float] = {}
 
+    def judged(now: tuple) -> float:
+        if now not in depth:
+            depth[now] = judge(now, words)
+        return depth[now]
+
     def flush() -> None:
         nonlocal text, before
         if text:
             joined = SPACE.sub(" ", "".join(text)).strip()
             if joined:
-                blocks.append([joined, score])
+                blocks.append([joined, score, around])
                 scores.append(before + score * len(joined.split()))
                 before = 0.0
             text = []
@@ -180,27 +201,37 @@ def extract(page: str | None) -> str:
         if kind == "text":
             run, stack = value
             if text or not run.isspace():
-                now = tuple(x for x in stack if x[0] not in INLINE)
-                if now not in depth:
-                    depth[now] = judge(now, words)
-                score = depth[now]
+                around = tuple(x for x in stack if x[0] not in INLINE)
+                score = judged(around)
                 text.append(html.unescape(run))
         else:
             tag = value[0]
             if tag not in INLINE:
                 flush()
-                before += tags.get(tag, -0.001) if kind == "open" and f"<{tag}>" not in NEUTRAL else -0.001
+                cost = tags.get(tag, -0.001) if kind == "open" and f"<{tag}>" not in NEUTRAL else -0.001
+                # A tag of a block against content belongs to that block, even if it has no text.
+                if cost < -0.001 and judged(now := (*(x for x in value[2] if x[0] not in INLINE), (tag, value[1]))) < -1:
+                    blocks.append(["", judged(now), now])
+                    scores.append(cost)
+                else:
+                    before += cost
     flush()
+    left = None
+    for k, (_, w, at) in enumerate(blocks):
+        if w > 0:
+            if left is not None and left + 1 < k and all(_beside(x[2], blocks[left][2], at, words) for x in blocks[left + 1 : k]):
+                scores[left + 1 : k] = [0.0] * (k - left - 1)
+            left = k
     # Kadane's scan: the contiguous region of blocks with the highest score, the first of equal ones.
     best, best_range, total, start = 0.0, (0, 0), 0.0, 0
-    for k, (s, (_, w)) in enumerate(zip(scores, blocks)):
+    for k, (s, (_, w, _)) in enumerate(zip(scores, blocks)):
         if total <= 0:
             total, start = 0.0, k
             s = w * len(blocks[k][0].split())  # tags before a region are not in it
         total += s
         if total > best:
             best, best_range = total, (start, k + 1)
-    return " ".join(t for t, w in blocks[slice(*best_range)] if w > 0)
+    return " ".join(t for t, w, _ in blocks[slice(*best_range)] if w > 0)
 
 
 def main_text(pages: DataFrame) -> DataFrame:

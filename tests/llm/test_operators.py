@@ -138,6 +138,20 @@ def test_html_against_the_template():
         assert html_extract.extract(page) == " ".join(parts).replace("&amp;", "&")
 
 
+@pytest.mark.parametrize("box", ["<div class='ad'>{}</div>", "<aside class='related'><h3>More</h3><ul><li><a>{}</a></li></ul></aside>", "<div class='notice'><p>{}</p></div>", "<form>{}<input></form>", "<form><input></form><aside>{}</aside>"])
+@pytest.mark.parametrize("page", ["<body><nav>a b c</nav>{}<footer>f f</footer></body>", "<body><div>{}</div></body>", "<body><nav>a b c</nav><article>{}</article><footer>f f</footer></body>", "<article><section>{}</section></article>", "<div class='post body'>{}</div><div class=sidebar>s s</div>", "{}"])
+def test_html_with_long_boxes_between_short_parts(page, box):
+    for lead, size, tail in ((10, 20, 60), (60, 20, 10), (10, 40, 29), (3, 200, 3)):
+        a, x, b = ("w " * n for n in (lead, size, tail))
+        got = html_extract.extract(page.format(f"<h1>T</h1><p>{a}</p>{box.format(x)}<p>{b}</p>{box.format(x)}<h2>U</h2><p>{b}</p>"))
+        assert got == " ".join(f"T {a} {b} U {b}".split())
+
+
+def test_html_boxes_join_no_other_parts():
+    words = "w " * 40
+    assert html_extract.extract(f"<body><article><p>{words}</p></article><div id=comments>c c c c</div><p>Other words</p></body>") == words.strip()
+
+
 def test_html_query(spark):
     df = spark.createDataFrame([(1, "u", None, 9), (1, "u", "<p>é\n</p>", 9), (2, None, "", 9)], "page_id long, url string, html string, n_chars int")
     got = sorted((r["page_id"], r["text"], r["n_chars"]) for r in html_extract.main_text(df).collect())
