@@ -1,8 +1,8 @@
 """Secret scans: candidates by pattern, false positives out by a random forest.
 
 DataFrame operations only. One pattern finds candidates: assignments to names
-such as ``password`` or ``token``, private key headers, and runs of key
-characters that hold a digit. Splitting a text by the same pattern gives what
+such as ``password`` or ``token``, private keys from header to end, keys of known
+prefixes, and runs of key characters that hold a digit. Splitting a text by the same pattern gives what
 stands between, so each candidate comes with its place and neighbours without
 any loop. A random forest, trained here on labelled findings (``LABELLED``),
 then judges length, mix of character classes and transitions between them,
@@ -25,9 +25,22 @@ from parley.llm.session import cut
 
 NAME = "pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth[_-]?key|secret[_-]?key|private[_-]?key|client[_-]?secret|credentials?"
 RUN = "A-Za-z0-9+/_\\-"
+#: A private key from its header to its end line, with no other such line between; without one, to the end of its base64
+#: lines, whose line ends may be escaped. Loops are possessive: those need no stack however long a text is.
+_KIND, _GAP = "[A-Z ]{0,30}PRIVATE KEY(?: BLOCK)?-----", "[\\s\"'>|,\\\\]{1,12}+"
+BLOCK = (
+    f"-----BEGIN {_KIND}(?:[^-]*+(?:-(?!----)[^-]*+){{0,20}}+-----END {_KIND}"
+    f"|(?:\\s{{1,4}}+[A-Z][A-Za-z\\-]{{2,20}}: [^\\n]{{1,200}}+){{0,5}}+(?:{_GAP}[A-Za-z0-9+/]{{32,}}+={{0,2}}+){{1,}}+"
+    f"(?:{_GAP}(?:[A-Za-z0-9+/]{{1,31}}+={{1,2}}+|(?=[A-Za-z+/]*+[0-9])[A-Za-z0-9+/]{{2,31}}+))?+)?+"
+)
+#: Keys of known prefixes, with their lengths; they need no digit.
+KNOWN = (
+    f"(?:AKIA|ASIA)[A-Z0-9]{{16}}(?![{RUN}])|gh[pos]_[A-Za-z0-9]{{36,}}+|github_pat_[A-Za-z0-9_]{{22,}}+|glpat-[A-Za-z0-9_\\-]{{20,}}+|xox[abprs]-[A-Za-z0-9\\-]{{10,}}+"
+    "|[sr]k_live_[A-Za-z0-9]{16,}+|sk-(?:[a-z]{2,8}-)?[A-Za-z0-9]{20,}+|AIza[A-Za-z0-9_\\-]{35,}+|npm_[A-Za-z0-9]{36,}+|eyJ[A-Za-z0-9_\\-]{17,}+|SG\\.[A-Za-z0-9_\\-]{22}\\.[A-Za-z0-9_\\-]{43}"
+)
 CANDIDATE = (
-    f"(?i:(?:{NAME})[\"']?[ \\t]{{0,3}}[=:][ \\t]{{0,3}}[\"']?)[^\\s\"',;]{{6,}}+"
-    "|-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----"
+    f"(?i:(?:{NAME})[\"']?[ \\t]{{0,3}}[=:][ \\t]{{0,3}}[\"']?)(?!-----BEGIN )[^\\s\"',;]{{6,}}+"
+    f"|{BLOCK}|(?<![{RUN}])(?:{KNOWN})[{RUN}]*+={{0,2}}"
     f"|(?<![{RUN}])(?=[A-Za-z+/_\\-]*+[0-9])[{RUN}]{{12,}}+={{0,2}}"
 )
 PREFIX = "^(?:AKIA|ASIA|ghp_|gho_|ghs_|github_pat_|glpat-|xox[abprs]-|sk_live_|rk_live_|sk-|AIza|eyJ|npm_|SG)"
@@ -106,11 +119,14 @@ def LABELLED(rounds: int = 40) -> list[tuple[str, int]]:
         eq = ["=", ": ", " = ", ":"][k % 4]
         q = ["", '"', "'"][k % 3]
         has = lambda s: s if any(c.isdigit() for c in s) else s[:-1] + "7"
+        bare = lambda name, n: d(name, upper, n) if k % 3 == 0 else has(d(name, upper + "234567", n))  # noqa: B023, E731
+        body = "\n".join(d(f"pem{n}", mixed + "+/", 64) for n in range(2 + k % 12)) + "\n" + d("pemx", mixed, 3 + k % 20) + "="
+        block = ["-----BEGIN RSA PRIVATE KEY-----", f"-----BEGIN PRIVATE KEY-----\n{body}\n-----END PRIVATE KEY-----", f"-----BEGIN EC PRIVATE KEY-----\n{body}"][k % 3]
         yes = [
-            f"AKIA{has(d('aws', upper + '234567', 16))}", f"aws {has('ASIA' + d('sts', upper + '234567', 16))}", f"ghp_{has(d('gh', mixed, 36))}", f"xoxb-{d('s1', digit, 11)}-{has(d('s2', mixed, 24))}", f"sk_live_{has(d('st', mixed, 24))}", f"AIza{has(d('g', mixed + '-_', 35))}", f"glpat-{has(d('gl', mixed, 20))}",
+            f"AKIA{bare('aws', 16)}", f"aws ASIA{bare('sts', 16)}", f"ghp_{d('gh', upper + lower, 36) if k % 4 == 0 else has(d('gh', mixed, 36))}", f"xoxb-{d('s1', digit, 11)}-{has(d('s2', mixed, 24))}", f"sk_live_{has(d('st', mixed, 24))}", f"AIza{has(d('g', mixed + '-_', 35))}", f"glpat-{has(d('gl', mixed, 20))}",
             f"password={d('p', hexa, 10 + k % 14)}", f"password{eq}{q}{has(d('p2', mixed + '!$%&*', 9 + k % 12))}{q}", f"passwd{eq}{has(d('p3', lower + digit, 8 + k % 10))}", f"pwd={has(d('p4', mixed, 8 + k % 8))}",
             f"token{eq}{q}{d('t', hexa, 32 + 8 * (k % 2))}{q}", f'token = "{d("t2", hexa, 40)}"', f"api_key{eq}{q}{has(d('a', mixed, 32))}{q}", f"secret{eq}{has(d('sec', mixed + '+/', 40))}", f"client_secret{eq}{q}{has(d('c', mixed + '_-', 24 + k % 20))}{q}",
-            f"bearer eyJ{has(base64.urlsafe_b64encode(d('j', mixed, 30).encode()).decode().rstrip('='))}", f"access_key={has(d('ak', mixed, 20))}", "-----BEGIN RSA PRIVATE KEY-----", f"authorization key {has(d('au', mixed, 40))}",
+            f"bearer eyJ{has(base64.urlsafe_b64encode(d('j', mixed, 30).encode()).decode().rstrip('='))}", f"access_key={has(d('ak', mixed, 20))}", block, f"authorization key {has(d('au', mixed, 40))}",
         ]
         no = [
             d("n1", digit, 12 + k % 8), f"card {d('n2', digit, 16)}", f"call +{d('n3', digit, 12)}", f"isbn 978-{d('n4', digit, 1)}-{d('n5', digit, 4)}-{d('n6', digit, 4)}-{d('n7', digit, 1)}", "-".join(d(f"u{n}", hexa, n) for n in (8, 4)) + "-" + "-".join(d(f"u{n}", hexa, 4) for n in (5, 6)) + "-" + d("u9", hexa, 12),
