@@ -32,6 +32,8 @@ from parley.llm.session import ship
 
 #: The split of byte-level BPE files that name ByteLevel with use_regex.
 PATTERN = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
+#: The same split, in the form that the compiled encoder runs without going back.
+COMPILED = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
 #: Code points for which this regex module and the library's engine may belong
 #: to different Unicode versions; texts that hold one are split by the library.
 UNSURE = regex.compile(r"[^\x00-՗]")
@@ -76,14 +78,9 @@ class Memory:
 class Codec:
     """Encoder and decoder of one vocabulary file."""
 
-    def __init__(self, path: str, speculate: bool = True) -> None:
-        """Without ``speculate``, new pieces go to a compiled encoder of the same vocabulary."""
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        self.path = path
-        model, pre = spec["model"], spec["pre_tokenizer"] or {}
-        if model["type"] != "BPE" or pre.get("type") != "ByteLevel" or not pre.get("use_regex", True) or pre.get("add_prefix_space") or spec.get("normalizer") or model.get("ignore_merges"):
-            raise ValueError("only plain byte-level BPE files are supported")
+    def __init__(self, path: str) -> None:
+        spec = load(path)
+        self.path, model = path, spec["model"]
         alphabet = byte_alphabet()
         to_bytes = lambda s: bytes(alphabet[c] for c in s)
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
@@ -134,11 +131,7 @@ class Codec:
             self.bytes_of[i] = text.encode()
         self.words = Memory(self.learn)
         self.pieces = Memory(self._learn_pieces)
-        self._library = self._fast = None
-        if not speculate and not twice and (np.diff(self.ids[256:].astype(np.int64)) > 0).all() and (self.ids[:256] < min(self.ids[256:], default=1 << 31)).all():
-            import tiktoken
-
-            self._fast = tiktoken.Encoding("own", pat_str=PATTERN.pattern, mergeable_ranks=dict(zip(token, map(int, self.ids))), special_tokens={})
+        self._library = None
 
     # -- verification ------------------------------------------------------
     def compatible(self, a: np.ndarray, b: np.ndarray, limit: np.ndarray | None = None) -> np.ndarray:
@@ -229,8 +222,6 @@ class Codec:
         return [self.ids[self.merge(raw[k])].tobytes() if k in failing else public[cuts[k] : cuts[k + 1]] for k in range(len(words))]
 
     def _learn_pieces(self, pieces: list[str]) -> list[bytes]:
-        if self._fast is not None:
-            return [np.array(x, "<u4").tobytes() for x in map(self._fast.encode_ordinary, pieces)]
         split = [self.split(p) for p in pieces]
         ids = self.words.of(split)
         return [b"".join(map(ids.__getitem__, s)) for s in split]
@@ -281,14 +272,73 @@ class Codec:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
-_codecs: dict[tuple[str, bool], Codec] = {}
+class Compiled:
+    """The ids of ``Codec``, by compiled encoders of the same vocabulary and with none of its tables.
+
+    For operators that need ids but no tokens, such as packing. One encoder
+    takes texts of the characters that both compiled encoders split alike;
+    texts with others, with added tokens, or too deep for that encoder's
+    pattern go to the library that defines the ids.
+    """
+
+    def __init__(self, path: str) -> None:
+        spec = load(path)
+        self.path, self._library, self._coder = path, None, None
+        self.added = [t["content"] for t in spec.get("added_tokens", [])]
+        alphabet, vocab = byte_alphabet(), spec["model"]["vocab"]
+        made = ["".join(m.split(" ") if isinstance(m, str) else m) for m in spec["model"]["merges"]]
+        ids = [vocab[m] for m in made]
+        # It takes ids for ranks: they must rise with the merges, after those of the bytes.
+        if len(set(made)) == len(made) and ids == sorted(ids) and max(vocab[c] for c in alphabet) < min(ids, default=1 << 31):
+            import tiktoken
+
+            ranks = {bytes([b]): vocab[c] for c, b in alphabet.items()} | {bytes(map(alphabet.__getitem__, m)): vocab[m] for m in made}
+            self._coder = tiktoken.Encoding("own", pat_str=COMPILED, mergeable_ranks=ranks, special_tokens={})
+
+    def encode(self, text: str | None) -> bytes:
+        """Ids of a text as little-endian unsigned 32-bit numbers; none for a null."""
+        if not text:
+            return b""
+        if self._coder is not None and UNSURE.search(text) is None and not any(a in text for a in self.added):
+            try:
+                return self._coder.encode_to_numpy(text).astype("<u4", copy=False).tobytes()
+            except ValueError:  # the pattern's stack is bounded
+                pass
+        if self._library is None:
+            from tokenizers import Tokenizer
+
+            self._library = Tokenizer.from_file(self.path)
+            self._library.no_truncation()
+            self._library.no_padding()
+        return np.array(self._library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def load(path: str) -> dict:
+    """A vocabulary file, if it is one of plain byte-level BPE."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    model, pre = spec["model"], spec["pre_tokenizer"] or {}
+    if model["type"] != "BPE" or pre.get("type") != "ByteLevel" or not pre.get("use_regex", True) or pre.get("add_prefix_space") or spec.get("normalizer") or model.get("ignore_merges"):
+        raise ValueError("only plain byte-level BPE files are supported")
+    return spec
 
 
-def codec(path: str, speculate: bool = True) -> Codec:
+_codecs: dict[str, Codec] = {}
+_compiled: dict[str, Compiled] = {}
+
+
+def codec(path: str) -> Codec:
     """One codec per vocabulary file and worker process."""
-    if (path, speculate) not in _codecs:
-        _codecs[path, speculate] = Codec(path, speculate)
-    return _codecs[path, speculate]
+    if path not in _codecs:
+        _codecs[path] = Codec(path)
+    return _codecs[path]
+
+
+def compiled(path: str) -> Compiled:
+    """One compiled encoder per vocabulary file and worker process."""
+    if path not in _compiled:
+        _compiled[path] = Compiled(path)
+    return _compiled[path]
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", into: str = "ids") -> DataFrame:
