@@ -1,9 +1,10 @@
 """Near-duplicate groups by one-permutation MinHash, in DataFrame operations only.
 
 Every text becomes the set of hashes of its two-word shingles. One permutation
-(the hash itself) fills ``BINS`` bins by its leading bits; an empty bin takes
-the value of a filled one that a second hash chain names for it, the same for
-all documents (optimal densification). Bands of ``ROWS`` bins make buckets.
+(the hash itself) fills ``BINS`` bins by its leading bits; an empty bin asks
+the others in an order of its own, the same for all documents, and takes the
+value of the first that is filled (optimal densification: what it takes never
+depends on the size of the set). Bands of ``ROWS`` bins make buckets.
 
 Sets of up to ``SMALL`` shingles fill too few bins for that, so they have no
 bands but an exact way: near sets share one of their rarest shingles (a prefix
@@ -38,7 +39,7 @@ BINS = 1 << BIN_BITS
 PERCENT = 75
 #: Shingles up to which a set's links are found exactly, by its rarest shingles.
 SMALL = 40
-#: Attempts of an empty bin to find a filled one before it takes the one at a fixed place.
+#: Bins that an empty bin asks first; it asks all others only if none of these is filled.
 TRIES = 8
 #: Hubs of a bucket in one later round.
 HUBS = 32
@@ -73,23 +74,28 @@ def bands(sets: Column) -> Column:
     # In a sorted set every bin is one stretch, its least value first.
     firsts = lambda s: F.filter(s, lambda h, i: (i == 0) | (bin_of(h) != bin_of(F.get(s, i - 1))))
     dense = lambda f: let(F.map_from_arrays(F.transform(f, bin_of), f), lambda m: F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda b: F.element_at(m, b)))
-    # Where an empty bin looks is the same for all documents: a constant table.
-    table = F.array(*[F.array(*[F.lit(_mix(b, t)) for t in range(TRIES)]) for b in range(BINS)])
+    # Where an empty bin looks is the same for all documents: constant tables, read from their JSON once.
+    table = lambda a, b: F.from_json(F.lit(str([_order(k)[a:b] for k in range(BINS)])), "array<array<int>>")
+    first, rest = table(0, TRIES), table(TRIES, BINS - 1)
 
-    def filled(d: Column, f: Column) -> Column:
-        look = lambda b: F.aggregate(F.get(table, b), F.lit(None).cast("bigint"), lambda got, x: F.coalesce(got, F.get(d, x)))
-        return F.transform(d, lambda v, b: F.coalesce(v, look(b), F.get(f, F.pmod(b * 40503 + 7, F.size(f)))))
+    def filled(d: Column) -> Column:
+        look = lambda t, b: F.aggregate(F.get(t, b), F.lit(None).cast("bigint"), lambda got, x: F.coalesce(got, F.get(d, x)))
+        return F.transform(d, lambda v, b: F.coalesce(v, look(first, b), look(rest, b)))
 
     hashed = lambda m: F.array(*[F.xxhash64(F.lit(k), *[F.get(m, F.lit(k * ROWS + j)) for j in range(ROWS)]) for k in range(BINS // ROWS)])
-    made = let(firsts(sets), lambda f: let(dense(f), lambda d: let(filled(d, f), hashed)))
+    made = let(firsts(sets), lambda f: let(dense(f), lambda d: let(filled(d), hashed)))
     return F.when(F.size(sets) > 0, made)
 
 
-def _mix(b: int, t: int) -> int:
-    x = (b * 0x9E3779B97F4A7C15 + (t + 1) * 0xC2B2AE3D27D4EB4F) & (1 << 64) - 1
-    x ^= x >> 31
-    x = x * 0x94D049BB133111EB & (1 << 64) - 1
-    return (x ^ x >> 29) % BINS
+def _order(b: int) -> list[int]:
+    """All other bins, in the order in which bin ``b`` asks them."""
+
+    def mix(x: int) -> int:
+        x = (b * 0x9E3779B97F4A7C15 + (x + 1) * 0xC2B2AE3D27D4EB4F) & (1 << 64) - 1
+        x = (x ^ x >> 31) * 0x94D049BB133111EB & (1 << 64) - 1
+        return x ^ x >> 29
+
+    return sorted((x for x in range(BINS) if x != b), key=mix)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -152,12 +158,18 @@ def groups(docs: DataFrame) -> DataFrame:
 
     Null and empty texts have no shingles and are their own component; so is a
     row without a ``doc_id`` unless its text has a copy. Rows that repeat a
-    ``doc_id`` stand for one document: what links one of them links it. Other
-    columns are ignored.
+    ``doc_id`` each have the component of their own text, by which they may
+    differ. Other columns are ignored.
     """
+    out = _grouped(docs).select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
+    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def _grouped(docs: DataFrame) -> DataFrame:
+    """``doc_id, key, n, component_id`` of every row; ``key`` is a hash of the text."""
     docs = docs.select("doc_id", "text")
-    made = docs.select("doc_id", shingles(F.col("text")).alias("s"))
-    base = cut(made.select("doc_id", F.size("s").alias("n"), F.xxhash64("s").alias("k1"), F.xxhash64(F.lit(1), "s").alias("k2"), F.when(F.size("s") > SMALL, bands(F.col("s"))).alias("bands"), F.when(F.size("s") <= 100 * SMALL // PERCENT, F.col("s")).alias("small")))
+    made = docs.select("doc_id", F.xxhash64("text").alias("key"), shingles(F.col("text")).alias("s"))
+    base = cut(made.select("doc_id", "key", F.size("s").alias("n"), F.xxhash64("s").alias("k1"), F.xxhash64(F.lit(1), "s").alias("k2"), F.when(F.size("s") > SMALL, bands(F.col("s"))).alias("bands"), F.when(F.size("s") <= 100 * SMALL // PERCENT, F.col("s")).alias("small")))
     folded = base.filter("n > 0").groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("small").alias("small"))
     spread = folded.select("rep", "n", F.explode("bands").alias("band"))
     shared = spread.groupBy("band").agg(F.min(F.struct("rep", "n")).alias("hub"), F.count("*").alias("m")).filter("m > 1")
@@ -190,17 +202,41 @@ def groups(docs: DataFrame) -> DataFrame:
     # Back from the folded sets to every document.
     reps = folded.select("k1", "k2", "n", "rep").join(comp.withColumnRenamed("node", "rep"), "rep", "left")
     reps = reps.select("k1", "k2", "n", F.coalesce("component", "rep").alias("c"))
-    out = base.select("doc_id", "n", "k1", "k2").join(reps, ["k1", "k2", "n"], "left")
-    out = out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("c", "doc_id").alias("component_id"))
-    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    out = base.select("doc_id", "key", "n", "k1", "k2").join(reps, ["k1", "k2", "n"], "left")
+    return out.select("doc_id", "key", "n", F.coalesce("c", "doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` (all columns) but those that a smaller doc_id of their group stands for.
 
-    Rows without a doc_id stay.
+    Rows without a doc_id stay, and so do those without words. Of rows that
+    repeat both a doc_id and the words of its text, one stays.
     """
-    gone = groups(docs.filter("doc_id is not null")).filter("not kept").select("doc_id").distinct()
-    gone = cut(gone)
-    small = gone.count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(gone) if small else gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    found = cut(_grouped(docs.filter("doc_id is not null").select("doc_id", "text")).filter("n > 0").select("doc_id", "key", "component_id"))
+    gone = found.filter("component_id <> doc_id").select("doc_id", F.col("key").alias(_free(docs, "key"))).distinct()
+    again = found.filter("component_id = doc_id").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id")
+    out = docs.withColumn(_free(docs, "key"), F.xxhash64("text")).join(_small(gone), ["doc_id", _free(docs, "key")], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    if again.isEmpty():
+        return out
+    # Few ids are repeated: only their rows move.
+    again = cut(again)
+    once, rest = out.join(_small(again), "doc_id", "left_semi"), out.join(_small(again), "doc_id", "left_anti")
+    # Rows without words are told apart by nothing else, so each has a number of its own.
+    own = F.when(F.size(shingles(F.col("text"))) > 0, F.xxhash64(shingles(F.col("text")))).otherwise(F.monotonically_increasing_id())
+    name = _free(docs, "set")
+    once = once.withColumn(name, own).dropDuplicates(["doc_id", name])
+    return once.select(*[F.col(f"`{c}`") for c in docs.columns]).union(rest.select(*[F.col(f"`{c}`") for c in docs.columns]))
+
+
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that the table does not have."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
+def _small(ids: DataFrame) -> DataFrame:
+    """Broadcast a table of ids if it is small, by its counted rows."""
+    ids = cut(ids)
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids

@@ -309,6 +309,42 @@ def test_near_dedup_of_short_texts(spark):
     assert [(r["n_shingles"], r["component_id"]) for r in got] == _groups(texts)
 
 
+@pytest.mark.parametrize("size", [2, 3, 4, 6, 9, 20, 41, 60, 90, 200])
+def test_bands_find_pairs_of_every_size(spark, size):
+    """Pairs at the threshold or just above, subsets and of equal sizes: those of sets beyond the exact way share a band."""
+    rng = random.Random(size)
+    rows = []
+    for k in range(300):
+        draw = lambda n: [rng.getrandbits(64) - (1 << 63) for _ in range(n)]  # noqa: B023, E731
+        a = draw(size)
+        common = -(-6 * size // 7)
+        rows.append((k, sorted(a), sorted([*a, *draw(size // 3)]) if k % 2 else sorted([*a[:common], *draw(size - common)])))
+    d = spark.createDataFrame(rows, "k long, a array<long>, b array<long>")
+    both = d.select("k", near_dedup.bands(F.col("a")).alias("x"), near_dedup.bands(F.col("b")).alias("y")).filter(F.arrays_overlap("x", "y"))
+    assert both.count() >= (300 if size > near_dedup.SMALL else 290)
+
+
+def test_near_dedup_of_middling_texts(spark):
+    rng = random.Random(31)
+    texts = []
+    for k in range(240):  # pairs at the threshold from 30 to 130 shingles, subsets and of equal sizes
+        n = 30 + 5 * (k % 21)
+        words = [f"m{k}x{j}" for j in range(n + 1)]
+        more = [f"e{k}x{j}" for j in range(n // 3)]
+        texts += [" ".join(words), " ".join([*words, *more]) if k % 2 else " ".join([*words[: n + 1 - n // 7], *more[: n // 7]])]
+    got = near_dedup.groups(docs(spark, texts)).orderBy("doc_id").collect()
+    assert [(r["n_shingles"], r["component_id"]) for r in got] == _groups(texts)
+
+
+def test_near_dedup_repeated_ids(spark):
+    d = docs(spark, ["a b c d", "e f g h i", "a b c d", "e f g h i", "x"]).withColumn("doc_id", F.element_at(F.array(*map(F.lit, [7, 7, 3, 9, 9])), F.col("doc_id").cast("int") + 1).cast("long"))
+    got = sorted((r["doc_id"], r["component_id"]) for r in near_dedup.groups(d).collect())
+    assert got == [(3, 3), (7, 3), (7, 7), (9, 7), (9, 9)]
+    assert sorted((r["doc_id"], r["text"]) for r in near_dedup.keep_one(d).collect()) == [(3, "a b c d"), (7, "e f g h i"), (9, "x")]
+    same = docs(spark, ["a b", "A  b", "a b", "", None, "c"]).withColumn("doc_id", F.lit(4).cast("long"))
+    assert sorted((r["text"] or "").lower().split() for r in near_dedup.keep_one(same).collect()) == [[], [], ["a", "b"], ["c"]]
+
+
 def test_near_dedup_edges(spark):
     assert near_dedup.groups(docs(spark, [])).count() == 0
     d = docs(spark, ["a b c", "a b c", None]).withColumn("doc_id", F.when(F.col("doc_id") > 0, F.col("doc_id")))
