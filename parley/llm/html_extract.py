@@ -1,13 +1,20 @@
 """Main text of web pages by maximum-scoring subsequence.
 
-A page is a sequence of words and tags. Words score by what encloses them,
-tags by what they are, both as logarithms of odds counted on labelled pages
-(``LABELLED``: templates of pages of many makes, each part marked as content or
-not); a tag's score is never positive, so tags part regions and words join
-them. One linear scan finds the contiguous region of the highest score. A block
-that speaks against content costs it nothing if it stands between two parts of
-one content parent. Inside the region, blocks whose enclosing elements speak against content (an advert between
-two paragraphs) are left out; nothing else is dropped and nothing is capped.
+A page is a sequence of words and tags, read in one pass. Both have scores,
+logarithms of odds counted on labelled pages (``LABELLED``: templates of pages
+of many makes, each part marked as content or not): a word's is positive, a
+tag's never is, so words join a region and tags part it: a list of short links
+costs more than its words are worth, a paragraph with a link does not. Where
+the names of enclosing elements (tag, class, id, role) speak for content, words
+count more; where they speak against it, words count against it. One linear
+scan (Kadane's) finds the contiguous region of the highest score.
+
+Two rules keep the article whole and clean, since one region alone can't: a
+block whose elements speak against content (an advert between two paragraphs)
+costs the region nothing if it stands between two parts of one content parent,
+and is left out of its text. Nothing else is dropped and nothing is capped.
+
+Every step is linear in the page, also for markup that never closes.
 """
 
 from __future__ import annotations
@@ -24,13 +31,13 @@ from pyspark.sql import DataFrame
 from parley.llm.session import ship
 
 #: Elements whose inside is no markup, and never text of the page.
-RAW = "script|style|noscript|template|textarea|iframe|svg|select|title"
-TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^<>]*\Z",
-    re.S | re.I,
-)
-NAMES = re.compile(r"\b(?:class|id|role|itemprop|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+RAW = {t: re.compile(rf"</{t}(?=[\s/>]|\Z)[^>]*+>?", re.I) for t in "script style noscript template textarea iframe svg select title".split()}
+TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+#: One attribute, or the end of the tag; a page that ends before is cut off inside the tag.
+ATTRIBUTE = re.compile(r"[\s/]*+(?:(>)|(?:([^\s/>=][^\s/>=]*+)|=)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]*+)))?+)")
+NAMES = frozenset("class id role itemprop aria-label".split())
+#: A reference to a character by a number beyond any; it is no character.
+BEYOND = re.compile(r"&#[0-9]{1000,}+;?")
 PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 SPACE = re.compile(r"\s+")
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
@@ -41,8 +48,9 @@ P_CLOSERS = frozenset("address article aside blockquote details div dl fieldset
 #: Where implied ends do not reach beyond.
 SCOPE = frozenset("article aside blockquote body div dl footer form header main nav ol section table ul".split())
 
-_ARTICLE = "<h1>{w}</h1><p>{w} {w} {w}</p><p>{w} <b>{w}</b> {w} <a href=x>{w}</a> {w}</p><h2>{w}</h2><ul><li>{w}</li><li>{w}</li></ul><blockquote><p>{w} {w}</p></blockquote><pre>{w}</pre><table><tr><td>{w}</td></tr></table><p>{w} {w}<br>{w}</p>"
+_ARTICLE = "<h1>{w}</h1><p>{w} {w} {w}</p><p>{w} <b>{w}</b> {w} <a href=x>{w}</a> {w}</p><h2>{w}</h2><ul>{l}{l}{l}</ul><blockquote><p>{w} {w}</p></blockquote><ol>{l}{l}</ol><ul><li>{w}</li><li>{w}</li></ul><pre>{w}</pre><p>{w} {w}<br>{w}</p><div>{w} {w}</div><div>{s}</div><table><tr><td>{s}</td><td>{s}</td></tr><tr><td>{s}</td><td>{s}</td></tr></table>"
 _MENU = "<ul><li><a href=x>{w}</a></li><li><a href=x>{w}</a></li><li><a href=x>{w}</a></li><li><a href=x>{w}</a></li><li><a href=x>{w}</a></li></ul>"
+_BARE = ("{m}", "<div>{m}</div>", "<div><a href=x>{w}</a><a href=x>{w}</a><a href=x>{w}</a></div>", "<table><tr><td><a href=x>{w}</a></td><td><a href=x>{w}</a></td></tr></table>", "<p><a href=x>{w}</a> | <a href=x>{w}</a></p>")
 _AROUND = (
     "<nav>{m}</nav>", "<nav class=menu>{m}</nav>", "<header><a href=x>{w}</a>{m}</header>", "<header class='site header top'><p>{w}</p></header>", "<div class='menu navbar nav navigation'>{m}</div>",
     "<div id=sidebar class='sidebar side widget'>{m}<p>{w}</p></div>", "<aside>{m}<p>{w}</p></aside>", "<aside class='related recommended'><h3>{w}</h3>{m}</aside>", "<div class='ad'>{w} {w}</div>", "<div class='ads advert advertisement sponsored sponsor promo promotion'><p>{w} {w}</p></div>",
@@ -56,189 +64,280 @@ _INNER = ("<article>{a}</article>", "<main>{a}</main>", "<main><article class='p
 
 def LABELLED() -> list[list[tuple[str, bool]]]:
     """Labelled pages: lists of (markup, whether it is content), in page order."""
-    fill = lambda s: s.format(w="word word word", m=_MENU.format(w="word"), a=_ARTICLE.format(w="word word word"))
+    fill = lambda s: s.format(w="word word", m=_MENU.format(w="word"), a=_ARTICLE.format(w="word word word word word", s="word", l="<li>word</li>" * 3))
     pages = []
     for i, inner in enumerate(_INNER):
         for k in range(len(_AROUND)):
-            pages.append([("<body>", False), (fill(_AROUND[k]), False), (fill(_AROUND[(k + i + 1) % len(_AROUND)]), False), (fill(inner), True), (fill(_AROUND[(k + 2 * i + 3) % len(_AROUND)]), False), (fill(_AROUND[(k + 5) % len(_AROUND)]), False), ("</body>", False)])
+            a, b, c, d = (_AROUND[x % len(_AROUND)] for x in (k, k + i + 1, k + 2 * i + 3, k + 5))
+            pages.append([(fill(a), False), (fill(_BARE[k % len(_BARE)]), False), (fill(b), False), (fill(inner), True), (fill(c), False), (fill(d), False)])
     return pages
 
 
-def marks(tag: str, attrs: str) -> tuple[str, ...]:
+def marks(tag: str, names: list[str]) -> tuple[str, ...]:
     """What an element tells about its inside: its name, and the parts of its class, id and role names."""
-    out = [f"<{tag}>"]
-    if attrs and "=" in attrs:
-        for m in NAMES.finditer(attrs):
-            out += [p.lower() for p in PART.findall(m[1] or m[2] or m[3] or "")]
-    return tuple(out)
-
-
-def scan(page: str) -> Iterator[tuple[str, object]]:
-    """The page as ("text", (run of text, enclosing elements)), ("open" or "close", (tag, marks, enclosing elements))."""
-    stack: list[tuple[str, tuple[str, ...]]] = []
-    at = 0
-    for m in TOKEN.finditer(page):
-        if m.start() > at:
-            yield "text", (page[at : m.start()], stack)
-        at = m.end()
-        tag = (m["tag"] or "").lower()
-        if not tag:
-            if m["raw"]:
-                yield "open", (m["raw"].lower(), (), stack)
-            continue
-        if m["end"]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
-                    break
-                if stack[k][0] in SCOPE and tag in INLINE | {"p", "li"}:
-                    break
-            yield "close", (tag, (), stack)
-            continue
-        what = marks(tag, m["attrs"])
-        if tag in P_CLOSERS:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == "p":
-                    del stack[k:]
-                    break
-                if stack[k][0] in SCOPE:
-                    break
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k][0] in CLOSES.get(tag, ()):
-                del stack[k:]
-            elif stack[k][0] in SCOPE:
-                break
-        yield "open", (tag, what, stack)
-        if tag not in VOID and not m["attrs"].endswith("/"):
-            stack.append((tag, what))
-    if at < len(page):
-        yield "text", (page[at:], stack)
+    return (f"<{tag}>", *(p.lower() for x in names for p in PART.findall(x)))
 
 
-def fit(pages: list[list[tuple[str, bool]]]) -> tuple[dict[str, float], dict[str, float]]:
-    """Log odds of the marks around words, and scores of tags, from labelled pages."""
+class Node:
+    """An element that makes blocks, and what its names and those around it say."""
+
+    __slots__ = ("tag", "what", "parent", "depth", "start", "end", "best", "worst", "good", "against", "apart")
+
+    def __init__(self, tag: str, what: tuple[str, ...], parent: Node | None, start: int, odds: dict[str, float]) -> None:
+        self.tag, self.what, self.parent, self.start, self.end = tag, what, parent, start, 0
+        self.depth = parent.depth + 1 if parent else 0
+        self.best = self.worst = 0.0
+        for x in what:
+            if x not in STRUCTURE and (v := odds.get(x, 0.0)):
+                self.best, self.worst = max(self.best, v), min(self.worst, v)
+        self.good, self.against, self.apart = what[:1] in GOOD, None, None if tag in TEXTUAL else self
+        if tag in ("body", "html"):  # their names are the whole page's
+            self.best = self.worst = 0.0
+        if parent:
+            self.best, self.worst, self.good = max(self.best, parent.best), min(self.worst, parent.worst), self.good or parent.good
+            # The outermost element that speaks against content, and the innermost one that is no part of running text.
+            self.against, self.apart = parent.against, self.apart or parent.apart
+        if self.against is None and self.worst < AGAINST:
+            self.against = self
+
+    def holds(self, other: Node) -> bool:
+        """Whether the other is this element or inside it; both are closed."""
+        return self.start <= other.start and other.end <= self.end
+
+
+def scan(page: str, odds: dict[str, float]) -> Iterator[tuple[str, object, Node]]:
+    """The page as ("text", run of text, its node), ("open", tag, its node or the one around) and ("close", tag, the one around).
+
+    The stack has (tag, node or None for elements inside a line); ``scopes``
+    counts the tags that are open since the last element that implied ends do
+    not cross, so no end tag looks through the stack in vain.
+    """
+    root = Node("html", (), None, 0, odds)
+    stack: list[tuple[str, Node | None]] = []
+    scopes, total = [Counter()], Counter()
+    node, clock, at, n = root, 0, 0, len(page)
+
+    def pop() -> str:
+        nonlocal node, clock
+        tag, made = stack.pop()
+        total[tag] -= 1
+        if tag in SCOPE:
+            scopes.pop()
+        scopes[-1][tag] -= 1
+        if made is not None:
+            clock += 1
+            made.end, node = clock, made.parent
+        return tag
+
+    while at < n:
+        lt = page.find("<", at)
+        if lt < 0:
+            lt = n
+        if lt > at:
+            yield "text", page[at:lt], node
+        at = lt
+        if at >= n:
+            break
+        m = TAG.match(page, at)
+        if m is None:
+            if page.startswith("<!--", at):
+                end = page.find("-->", at + 4)
+                at = n if end < 0 else end + 3
+            elif page[at + 1 : at + 2] in ("!", "?", "/"):
+                end = page.find(">", at)
+                at = n if end < 0 else end + 1
+            else:
+                yield "text", "<", node
+                at += 1
+            continue
+        at, names, closed, own = m.end(), [], False, False
+        tag = m[2].lower()
+        while at < n:
+            a = ATTRIBUTE.match(page, at)
+            if a is None:  # only white space and strokes up to the end of the page
+                break
+            own, at = page.startswith("/", a.start(1) - 1) if a[1] else False, a.end()
+            if a[1]:
+                closed = True
+                break
+            if a[2] and a[2].lower() in NAMES:
+                names.append(a[3] or a[4] or a[5] or "")
+        if not closed:
+            break  # the page ends inside a tag, which then is none
+        if m[1]:
+            if (scopes[-1] if tag in INLINE or tag in ("p", "li") else total)[tag] > 0:
+                while pop() != tag:
+                    pass
+            yield "close", tag, node
+            continue
+        if tag in RAW:
+            end = RAW[tag].search(page, at)
+            at = n if end is None else end.end()
+            yield "open", tag, node
+            continue
+        if tag in P_CLOSERS and scopes[-1]["p"] > 0:
+            while pop() != "p":
+                pass
+        for t in CLOSES.get(tag, ()):
+            while scopes[-1][t] > 0:
+                while pop() != t:
+                    pass
+        if tag in VOID or own:
+            yield "open", tag, node
+            continue
+        made = None
+        if tag not in INLINE:
+            clock += 1
+            made = node = Node(tag, marks(tag, names), node, clock, odds)
+        stack.append((tag, made))
+        total[tag] += 1
+        scopes[-1][tag] += 1
+        if tag in SCOPE:
+            scopes.append(Counter())
+        yield "open", tag, node
+    while stack:
+        pop()
+    root.end = clock + 1
+
+
+def fit(pages: list[list[tuple[str, bool]]]) -> tuple[dict[str, float], dict[str, float], float]:
+    """Log odds of the marks around words, scores of tags, and of a word, from labelled pages.
+
+    Scores are fitted on what the names say nothing against: there they decide.
+    """
     inside, outside, tags_in, tags_out = Counter(), Counter(), Counter(), Counter()
     for page in pages:
         for markup, content in page:
-            for kind, value in scan(markup):
+            for kind, value, node in scan(markup, {}):
                 if kind == "text":
-                    n = len(value[0].split())
-                    for mark in {x for _, what in value[1] for x in what}:
-                        (inside if content else outside)[mark] += n
-                else:
-                    (tags_in if content else tags_out)[value[0]] += 1
-    words = {x: math.log((inside[x] + 0.5) / (outside[x] + 0.5)) for x in inside | outside}
-    tags = {x: min(-0.001, math.log((tags_in[x] + 0.5) / (tags_out[x] + 0.5))) for x in tags_in | tags_out}
-    return words, tags
+                    seen: set[str] = set()
+                    while node is not None:
+                        seen.update(node.what)
+                        node = node.parent
+                    for mark in seen:
+                        (inside if content else outside)[mark] += len(value.split())
+    odds = {x: math.log((inside[x] + 0.5) / (outside[x] + 0.5)) for x in inside | outside}
+    words_in = words_out = 0
+    for page in pages:
+        for markup, content in page:
+            for kind, value, node in scan(markup, odds):
+                if kind == "text" and not node.against:
+                    n = len(value.split())
+                    words_in, words_out = words_in + n * content, words_out + n * (not content)
+                elif kind == "open" and not node.against:
+                    (tags_in if content else tags_out)[value] += 1
+    share = math.log((words_out + tags_out.total() + 0.5) / (words_in + tags_in.total() + 0.5))
+    tags = {x: min(LEAST, math.log((tags_in[x] + 0.5) / (tags_out[x] + 0.5)) + share) for x in tags_in | tags_out}
+    return odds, tags, max(-LEAST, math.log((words_in + 0.5) / (words_out + 0.5)) + share)
 
 
-_model: list[tuple[dict[str, float], dict[str, float]]] = []
+_model: list[tuple[dict[str, float], dict[str, float], float]] = []
 
 
-def model() -> tuple[dict[str, float], dict[str, float]]:
+def model() -> tuple[dict[str, float], dict[str, float], float]:
     """Weights of the labelled pages, fitted once per process."""
     if not _model:
         _model.append(fit(LABELLED()))
     return _model[0]
 
 
-#: Tags of running text are found in menus and notes too; what they enclose is left to their surroundings.
-NEUTRAL = frozenset(f"<{t}>" for t in "p div span ul ol li a b i em strong table tr td th tbody thead h1 h2 h3 h4 h5 h6 section body html br blockquote pre dl dt dd figure figcaption code".split())
-GOOD = frozenset("<article> <main>".split())
+#: Scores of tags at most: they always part regions, if only a little.
+LEAST = -0.01
+#: Log odds from which an element's names speak against content.
+AGAINST = -1.0
+#: Elements of any page's structure: they score as tags, and say nothing about the words inside.
+STRUCTURE = frozenset(f"<{t}>" for t in "p div ul ol li table tr td th tbody thead h1 h2 h3 h4 h5 h6 section body html blockquote pre dl dt dd figure figcaption".split())
+GOOD = frozenset({("<article>",), ("<main>",)})
 #: Elements that a part of running text may be in without being apart from its neighbours.
 TEXTUAL = frozenset("p ul ol li table tr td th tbody thead h1 h2 h3 h4 h5 h6 blockquote pre dl dt dd figure figcaption code".split())
 
 
-def judge(stack: list[tuple[str, tuple[str, ...]]], words: dict[str, float]) -> float:
-    """Score of a word among these elements: the strongest voice against, else the strongest for content."""
-    best, worst = 0.0, 0.0
-    for tag, what in stack:
-        if tag in ("body", "html"):
-            continue
-        for x in what:
-            v = 0.0 if x in NEUTRAL else words.get(x, 0.0)
-            best, worst = max(best, v), min(worst, v)
-    return worst if worst < -1 else 1 + best
+def weight(node: Node, word: float) -> float:
+    """Score of a word in this element: the strongest voice against, else a word's with the strongest for content."""
+    return node.worst if node.against else word + node.best
 
 
-def _beside(block: tuple, left: tuple, right: tuple, words: dict[str, float]) -> bool:
-    """Whether a block against content stands between two parts of one content parent; each as its enclosing elements."""
-    at = next(k for k, x in enumerate(block) if judge((x,), words) < -1)
-    # Elements are compared by identity: two of the same name are not the same parent.
-    if not all(len(x) >= at and all(p is q for p, q in zip(x, block[:at])) for x in (left, right)):
+def _beside(block: Node, left: Node, right: Node) -> bool:
+    """Whether a block against content stands between two parts of one content parent."""
+    parent = block.against.parent
+    if not (parent.holds(left) and parent.holds(right)):
         return False
-    if all(tag in TEXTUAL for x in (left, right) for tag, _ in x[at:]):
+    if all(x.apart is None or x.apart.depth <= parent.depth for x in (left, right)):
         return True
-    if any(mark in GOOD for _, what in block[:at] for mark in what):
-        return True
-    return judge(block[:at], words) > 1 and judge(left, words) == judge(right, words)
+    return parent.good or parent.best > 0 and left.best == right.best
 
 
-def extract(page: str | None) -> str:
-    """Main text of a page; empty for a null or empty page and one without content."""
-    words, tags = model()
-    blocks: list[list] = []  # text, words' score, enclosing elements; a block is a run of text between tags that are not inline
-    scores: list[float] = []  # of each block, with the tags before it
-    text, score, around, before = [], 0.0, (), 0.0
-    depth: dict[tuple, float] = {}
+def blocks_of(page: str, fitted: tuple[dict[str, float], dict[str, float], float]) -> list[list]:
+    """Blocks in page order: text (empty for a tag that speaks against content), node, score of the tags before it, its own.
 
-    def judged(now: tuple) -> float:
-        if now not in depth:
-            depth[now] = judge(now, words)
-        return depth[now]
+    A block is a run of text between tags that are not inside a line.
+    """
+    odds, tags, word = fitted
+    out: list[list] = []
+    text: list[str] = []
+    around, cost, before = None, 0.0, 0.0
 
     def flush() -> None:
-        nonlocal text, before
+        nonlocal before, cost
         if text:
             joined = SPACE.sub(" ", "".join(text)).strip()
             if joined:
-                blocks.append([joined, score, around])
-                scores.append(before + score * len(joined.split()))
+                out.append([joined, around, before, cost + weight(around, word) * (joined.count(" ") + 1)])
                 before = 0.0
-            text = []
+            text.clear()
+        cost = 0.0
 
-    for kind, value in scan(page or ""):
+    for kind, value, node in scan(page, odds):
         if kind == "text":
-            run, stack = value
-            if text or not run.isspace():
-                around = tuple(x for x in stack if x[0] not in INLINE)
-                score = judged(around)
-                text.append(html.unescape(run))
+            if text or not value.isspace():
+                if not text:
+                    around = node
+                text.append(html.unescape(BEYOND.sub("\ufffd", value)))
+        elif value in INLINE:
+            if kind == "open" and not node.against:
+                cost += tags.get(value, LEAST)
         else:
-            tag = value[0]
-            if tag not in INLINE:
-                flush()
-                cost = tags.get(tag, -0.001) if kind == "open" and f"<{tag}>" not in NEUTRAL else -0.001
-                # A tag of a block against content belongs to that block, even if it has no text.
-                if cost < -0.001 and judged(now := (*(x for x in value[2] if x[0] not in INLINE), (tag, value[1]))) < -1:
-                    blocks.append(["", judged(now), now])
-                    scores.append(cost)
-                else:
-                    before += cost
+            flush()
+            if kind == "open" and value not in VOID and not node.against:
+                before += tags.get(value, LEAST)
+            elif kind == "open" and node.against is node and node.tag == value:
+                out.append(["", node, 0.0, node.worst])
     flush()
+    return out
+
+
+def region(blocks: list[list]) -> tuple[int, int]:
+    """First and last (exclusive) of the contiguous blocks with the highest score; the first of equal ones."""
+    scores = [(tags, own) for _, _, tags, own in blocks]
     left = None
-    for k, (_, w, at) in enumerate(blocks):
-        if w > 0:
-            if left is not None and left + 1 < k and all(_beside(x[2], blocks[left][2], at, words) for x in blocks[left + 1 : k]):
-                scores[left + 1 : k] = [0.0] * (k - left - 1)
+    for k, (_, node, _, _) in enumerate(blocks):
+        if not node.against:
+            if left is not None and left + 1 < k and all(_beside(x[1], blocks[left][1], node) for x in blocks[left + 1 : k]):
+                scores[left + 1 : k] = [(0.0, 0.0)] * (k - left - 1)
             left = k
-    # Kadane's scan: the contiguous region of blocks with the highest score, the first of equal ones.
-    best, best_range, total, start = 0.0, (0, 0), 0.0, 0
-    for k, (s, (_, w, _)) in enumerate(zip(scores, blocks)):
-        if total <= 0:
+    best, found, total, start = 0.0, (0, 0), 0.0, 0
+    for k, (tags, own) in enumerate(scores):
+        total += tags
+        if total <= 0:  # a region starts with a word
             total, start = 0.0, k
-            s = w * len(blocks[k][0].split())  # tags before a region are not in it
-        total += s
+        total += own
         if total > best:
-            best, best_range = total, (start, k + 1)
-    return " ".join(t for t, w, _ in blocks[slice(*best_range)] if w > 0)
+            best, found = total, (start, k + 1)
+    return found
+
+
+def extract(page: str | None) -> str:
+    """Main text of a page; empty for a null or empty page and one without content."""
+    blocks = blocks_of(page or "", model())
+    return " ".join(t for t, node, _, _ in blocks[slice(*region(blocks))] if not node.against)
 
 
 def main_text(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` of every row of ``page_id, url, html``.
 
     Null and empty pages have an empty text. Repeated rows are read each; other
-    columns are ignored. Truncated markup ends with the page.
+    columns are ignored. Markup that is cut off ends with the page; of regions
+    with equal scores the first is taken. Pages of any length are read whole.
     """
     ship(pages.sparkSession)
     pages = pages.select("page_id", "url", "html")

@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -152,6 +153,57 @@ def test_html_boxes_join_no_other_parts():
     assert html_extract.extract(f"<body><article><p>{words}</p></article><div id=comments>c c c c</div><p>Other words</p></body>") == words.strip()
 
 
+#: Pages that no template of the module looks like; the second of each is what a reader would call the article.
+UNNAMED = [
+    ("<div><ul><li><a href=/>Home</a></li><li><a href=/a>About</a></li><li><a href=/c>Contact us</a></li></ul></div><div><h1>Rye bread</h1><p>Bake it slowly in a hot oven.</p><ul><li>Flour</li><li>Salt</li><li>2 spoons of honey</li></ul></div>", "Rye bread Bake it slowly in a hot oven. Flour Salt 2 spoons of honey"),
+    ("<body><p><a href=1>One</a> | <a href=2>Two</a> | <a href=3>Three</a></p><div>A long first part about the old mill.</div><div>And <a href=x>one link</a> in the second part of it.</div><div><a href=4>Next</a><a href=5>Back</a><a href=6>Up</a></div>", "A long first part about the old mill. And one link in the second part of it."),
+    ("<table><tr><td><a href=1>North</a></td><td><a href=2>South</a></td></tr></table><p>Winds were weak and the boats stayed in.</p><p>No fish came to market.</p>", "Winds were weak and the boats stayed in. No fish came to market."),
+]
+
+
+@pytest.mark.parametrize(("page", "want"), UNNAMED)
+def test_html_region_without_names(page, want):
+    """Nothing but the scan tells menus from text here: without it the menus stay."""
+    assert html_extract.extract(page) == want
+    blocks = html_extract.blocks_of(page, html_extract.model())
+    assert " ".join(t for t, node, _, _ in blocks if not node.against) != want
+
+
+def test_html_region_is_the_best_one():
+    rng = random.Random(8)
+    node = html_extract.Node("p", ("<p>",), None, 0, {})
+    for _ in range(200):
+        blocks = [["x", node, rng.choice([0.0, -0.5, -2.0]), rng.choice([-1.0, 0.5, 1.0, 2.0])] for _ in range(rng.randint(0, 9))]
+        score = lambda a, b: sum(x[2] + x[3] for x in blocks[a:b]) - (blocks[a][2] if a < b else 0)  # noqa: B023, E731
+        best = max([score(a, b) for a in range(len(blocks)) for b in range(a + 1, len(blocks) + 1)], default=0)
+        a, b = html_extract.region(blocks)
+        assert score(a, b) == pytest.approx(max(best, 0))
+
+
+def test_html_weights_are_counts():
+    odds, tags, word = html_extract.fit([[("<nav>a a a</nav>", False), ("<ul><li><a>m</a></li></ul>", False), ("<p>b b b b</p>", True)]])
+    assert odds["<nav>"] == pytest.approx(np.log(0.5 / 3.5))
+    share = np.log((1 + 3 + 0.5) / (4 + 1 + 0.5))  # what stands outside nav: a word and three tags against four words and a tag
+    assert word == pytest.approx(np.log(4.5 / 1.5) + share) and tags["a"] == pytest.approx(np.log(0.5 / 1.5) + share)
+
+
+@pytest.mark.parametrize("part", ["<script ", "<div>x", '<a x="y ', "<a x='y\" ", "< ", "<!-- ", "<select>x", "<p><b>", "<ul><li>x", "&#9", "&", "</b></p>", "<article><p>x<div class=ad>y", "<a =", "<a /", "<table><tr><td>x", "<b><i>"])
+def test_html_time_is_linear(part):
+    def seconds(n):
+        began = time.process_time()
+        html_extract.extract(part * n)
+        return time.process_time() - began
+
+    n = 40_000 // len(part)
+    assert seconds(8 * n) < 0.05 + 20 * max(seconds(n), seconds(n))
+
+
+def test_html_odd_markup():
+    assert html_extract.extract("<p>x &#" + "9" * 5000 + "; y") == "x \ufffd y"
+    assert html_extract.extract("<article><p title=it's>a</p><p>b <c") == "a b"
+    assert html_extract.extract("<p " + "x" * 100_000 + ">one</p>" + "two " * 50_000) == "one " + ("two " * 50_000).strip()
+
+
 def test_html_query(spark):
     df = spark.createDataFrame([(1, "u", None, 9), (1, "u", "<p>é\n</p>", 9), (2, None, "", 9)], "page_id long, url string, html string, n_chars int")
     got = sorted((r["page_id"], r["text"], r["n_chars"]) for r in html_extract.main_text(df).collect())
