@@ -6,10 +6,14 @@ conditional random field with two states, content and boilerplate, is decoded
 by Viterbi, and the share of words in content lines decides retention.
 
 The field is trained here, by gradient ascent on the conditional likelihood
-(forward-backward), on the lines of a bounded sample of labelled documents:
-those of good documents are content, those of bad ones boilerplate. Lines are
-seen through what any language has: length, case, symbols, digits, ending,
-recurrence of words and lines, and place in the document.
+(forward-backward), on the lines of a bounded sample of labelled documents.
+Lines have labels of their own: boilerplate is a line that a line before it
+repeats, one that many sites share (see ``line_dedup``; not in a document that
+consists of such lines, which is a copy), and every line of a bad document; all
+others are content. So one document can hold both, and the weights of going
+from one state to the other are learnt. Lines are seen through what any
+language has: length, case, symbols, digits, ending, recurrence of words and
+lines, place in the document; and through their words, hashed.
 """
 
 from __future__ import annotations
@@ -21,9 +25,11 @@ from operator import eq
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parley.llm import line_dedup
 from parley.llm.session import ship
 
 WORD = re.compile(r"[^\x20\x09-\x0d]+")
@@ -34,13 +40,15 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 #: Least share of a document's words in lines that the field calls content.
 CONTENT_SHARE = 0.5
-#: Labelled documents that the field is fitted on at most, and lines of each: the fit is bounded, the verdicts are not.
-SAMPLE, SAMPLE_LINES = 1_500, 60
-STEPS, RATE, L2 = 50, 0.5, 1e-3
+#: Labelled documents that the field is fitted on at most: the fit is bounded, the verdicts are not.
+SAMPLE = 1_500
+STEPS, RATE, L2 = 60, 0.3, 2e-3
+#: Weights of hashed words, and how much the mean of a line's words counts.
+BUCKETS, WORDS = 1 << 10, 4.0
 CACHE = 120_000
 LINKS = ("http://", "https://", "www.", "@")
-NOTICE = re.compile(r"(?i)\b(?:copyright|licen[cs]ed?|all rights reserved|cookies?|subscribe|newsletter|terms of (?:use|service)|privacy policy)\b|©")
-N_FEATURES = 26
+N_LOOKS = 25
+N_FEATURES = N_LOOKS + BUCKETS
 
 
 class _Hashes(dict):
@@ -55,15 +63,20 @@ class _Hashes(dict):
 _hashes = _Hashes()
 
 
-def repeated(words: list[str], window: int = WINDOW) -> int:
-    """Words that lie in a window of ``window`` words found twice or more, the first one included."""
-    n = len(words) - window + 1
-    if n < 2:
-        return 0
+def hashes(words: list[str]) -> np.ndarray:
+    """A 64-bit hash of each word."""
     h = np.fromiter(map(_hashes.__getitem__, words), np.int64, len(words)).astype(np.uint64)
     with np.errstate(over="ignore"):
         h = (h ^ h >> np.uint64(31)) * np.uint64(0x9E3779B97F4A7C15)
-        h ^= h >> np.uint64(29)
+    return h ^ h >> np.uint64(29)
+
+
+def repeated(h: np.ndarray, window: int = WINDOW) -> int:
+    """Of the hashed words, those in a window of ``window`` words found twice or more, the first one included."""
+    n = len(h) - window + 1
+    if n < 2:
+        return 0
+    with np.errstate(over="ignore"):
         code = np.zeros(n, np.uint64)
         for k in range(window):
             code = code * np.uint64(0xD6E8FEB86659FD93) + h[k : k + n]
@@ -73,7 +86,7 @@ def repeated(words: list[str], window: int = WINDOW) -> int:
         return 0
     hit = np.zeros(n, bool)
     hit[order[1:][same]] = hit[order[:-1][same]] = True
-    edge = np.zeros(len(words) + 1, np.int64)
+    edge = np.zeros(len(h) + 1, np.int64)
     np.add.at(edge, np.flatnonzero(hit), 1)
     np.add.at(edge, np.flatnonzero(hit) + window, -1)
     return int((np.cumsum(edge[:-1]) > 0).sum())
@@ -81,95 +94,135 @@ def repeated(words: list[str], window: int = WINDOW) -> int:
 
 def base(text: str | None) -> tuple[int, int, int, int, int, bool]:
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed."""
-    return _base(text or "", lines_of(text or ""))
-
-
-def lines_of(text: str) -> list[tuple[str, list[str]]]:
-    """The lines that have a word, with their words; no word goes beyond a line."""
-    return [(x, w) for x in text.split("\n") if (w := WORD.findall(x))]
-
-
-def _base(text: str, lines: list[tuple[str, list[str]]]) -> tuple[int, int, int, int, int, bool]:
-    words = [w for _, ws in lines for w in ws]
-    again = repeated(words)
-    n = len(words)
-    return n, sum(map(len, words)), sum(map(text.count, SYMBOLS)), len(lines) - len({x for x, _ in lines}), again, n < MIN_WORDS or 100 * again > MAX_REPEAT_PERCENT * n
-
-
-def observe(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Features of every line that has a word, and its number of words."""
-    return _observe(lines_of(text))
-
-
-def _observe(lines: list[tuple[str, list[str]]]) -> tuple[np.ndarray, np.ndarray]:
-    x = np.zeros((len(lines), N_FEATURES), np.float32)
-    seen: set[str] = set()
-    for k, (line, words) in enumerate(lines):
-        n, chars = len(words), len(line)
-        symbols = sum(map(line.count, SYMBOLS))
-        distinct = len(set(words))
-        f = [0, 1 if n <= 2 else 2 if n <= 5 else 3 if n <= 12 else 4 if n <= 40 else 5]
-        last = words[-1][-1]
-        f.append(6 if last in ".?…" else 7 if last in "!" else 8 if last in ",;:" else 9 if last.isalnum() else 10)
-        f += [11] * line[:1].isupper() + [12] * line.isupper()
-        f += [13] * (symbols > 0) + [14] * (symbols > 0.1 * n) + [15] * (symbols > 0.5 * n)
-        f += [16] * (line.count("!") > 0.5 * n) + [17] * (len(DIGIT.findall(line)) > 0.2 * chars)
-        f += [18] * any(u in line for u in LINKS) + [19] * (NOTICE.search(line) is not None)
-        f += [20] * (n > 5 and distinct < 0.7 * n) + [21] * (n > 5 and distinct < 0.4 * n)
-        f += [22] * (sum(map(eq, words, words[1:])) > 0.2 * n)
-        f += [23] * (line in seen) + [24] * (k == 0) + [25] * (k == len(lines) - 1)
-        seen.add(line)
-        x[k, f] = 1
-    return x, np.array([len(w) for _, w in lines], np.int64)
-
-
-def fit(documents: list[tuple[np.ndarray, int]]) -> tuple[np.ndarray, np.ndarray]:
-    """Emission weights (features x states) and transitions, from (line features, state of all lines).
-
-    States: 0 content, 1 boilerplate. Without documents everything is content.
+    return Lines(text or "").base()
+
+
+class Lines:
+    """The lines of a text that have a word; no word goes beyond a line."""
+
+    def __init__(self, text: str) -> None:
+        self.text = text
+        self.lines = [(x, w) for x in text.split("\n") if (w := WORD.findall(x))]
+        self.lengths = np.array([len(w) for _, w in self.lines], np.int64)
+        self.words = [w for _, ws in self.lines for w in ws]
+        self.hashes = hashes(self.words)
+
+    def base(self) -> tuple[int, int, int, int, int, bool]:
+        again, n = repeated(self.hashes), len(self.words)
+        dup = len(self.lines) - len({x for x, _ in self.lines})
+        return n, sum(map(len, self.words)), sum(map(self.text.count, SYMBOLS)), dup, again, n < MIN_WORDS or 100 * again > MAX_REPEAT_PERCENT * n
+
+    def looks(self) -> np.ndarray:
+        """What each line looks like: ``N_LOOKS`` flags."""
+        x = np.zeros((len(self.lines), N_LOOKS), np.float32)
+        seen: set[str] = set()
+        for k, (line, words) in enumerate(self.lines):
+            n, chars = len(words), len(line)
+            symbols = sum(map(line.count, SYMBOLS))
+            distinct = len(set(words))
+            f = [0, 1 if n <= 2 else 2 if n <= 5 else 3 if n <= 12 else 4 if n <= 40 else 5]
+            last = words[-1][-1]
+            f.append(6 if last in ".?…" else 7 if last in "!" else 8 if last in ",;:" else 9 if last.isalnum() else 10)
+            f += [11] * line[:1].isupper() + [12] * line.isupper()
+            f += [13] * (symbols > 0) + [14] * (symbols > 0.1 * n) + [15] * (symbols > 0.5 * n)
+            f += [16] * (line.count("!") > 0.5 * n) + [17] * (len(DIGIT.findall(line)) > 0.2 * chars)
+            f += [18] * any(u in line for u in LINKS)
+            f += [19] * (n > 5 and distinct < 0.7 * n) + [20] * (n > 5 and distinct < 0.4 * n)
+            f += [21] * (sum(map(eq, words, words[1:])) > 0.2 * n)
+            f += [22] * (line in seen) + [23] * (k == 0) + [24] * (k == len(self.lines) - 1)
+            seen.add(line)
+            x[k, f] = 1
+        return x
+
+    def buckets(self) -> np.ndarray:
+        """The bucket of each word."""
+        return (self.hashes >> np.uint64(20) & np.uint64(BUCKETS - 1)).astype(np.int64)
+
+    def score(self, emit: np.ndarray) -> np.ndarray:
+        """Emissions of each line: of its look, and of the mean of its words."""
+        return emissions(self.looks(), self.buckets(), self.lengths, emit)
+
+    def states(self, bad: bool, shared: frozenset[int]) -> list[int]:
+        """The labels that training takes: 0 content, 1 boilerplate. ``shared``: hashes of lines of many sites."""
+        seen: set[str] = set()
+        spread = [_signed(xxhash.xxh64_intdigest(x.encode(), 42)) in shared for x, _ in self.lines] if shared else [False] * len(self.lines)
+        copied = 2 * sum(spread) > len(spread)
+        return [int(bad or x in seen or (s and not copied) or bool(seen.add(x))) for (x, _), s in zip(self.lines, spread)]
+
+
+def _signed(h: int) -> int:
+    return h - (1 << 64) if h >> 63 else h
+
+
+def emissions(looks: np.ndarray, buckets: np.ndarray, lengths: np.ndarray, emit: np.ndarray) -> np.ndarray:
+    """Scores (lines x states); words lie side by side, ``lengths`` of them a line."""
+    if not len(lengths):
+        return np.zeros((0, 2))
+    starts = np.cumsum(lengths) - lengths
+    return looks @ emit[:N_LOOKS] + WORDS * np.add.reduceat(emit[N_LOOKS:][buckets], starts) / lengths[:, None]
+
+
+Example = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
+
+def likelihood(examples: list[Example], emit: np.ndarray, move: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """Mean log likelihood a line of the labels, and its gradient, by forward-backward.
+
+    An example is a document: looks, buckets and lengths of its lines, and their states.
+    All lines lie side by side, so memory follows their number, and documents step together.
+    """
+    examples = sorted(examples, key=lambda e: -len(e[3]))
+    looks, buckets, lengths, y = (np.concatenate(c) for c in zip(*examples))
+    sizes = np.array([len(e[3]) for e in examples])
+    starts = np.cumsum(sizes) - sizes
+    score = emissions(looks, buckets, lengths, emit)
+    forward, backward = score.copy(), np.zeros_like(score)
+    live = [starts[: np.searchsorted(-sizes, -t)] + t for t in range(sizes[0])]  # the t-th lines, of documents that have one
+    for t in range(1, sizes[0]):
+        at = live[t]
+        forward[at] += np.logaddexp.reduce(forward[at - 1, :, None] + move, axis=1)
+    for t in range(sizes[0] - 1, 0, -1):
+        at = live[t]
+        backward[at - 1] = np.logaddexp.reduce(move + (score[at] + backward[at])[:, None, :], axis=2)
+    total = np.repeat(np.logaddexp.reduce(forward[starts + sizes - 1], axis=1), sizes)
+    inner = np.ones(len(y), bool)
+    inner[starts] = False
+    at = np.flatnonzero(inner)
+    n = len(y)
+    value = score[np.arange(n), y].sum() + move[y[at - 1], y[at]].sum() - total[starts].sum()
+    off = -np.exp(forward + backward - total[:, None])
+    off[np.arange(n), y] += 1
+    both = np.exp(forward[at - 1, :, None] + move + (score + backward)[at, None, :] - total[at, None, None]).sum(0)
+    to = -both
+    np.add.at(to, (y[at - 1], y[at]), 1)
+    share = np.repeat(WORDS * off / lengths[:, None], lengths, axis=0)
+    g = np.concatenate([looks.T @ off, np.stack([np.bincount(buckets, share[:, s], BUCKETS) for s in (0, 1)], axis=1)])
+    return value / n, g / n, to / n
+
+
+def fit(examples: list[Example]) -> tuple[np.ndarray, np.ndarray]:
+    """Emission weights (features x states) and transitions, by ascent with adaptive steps and a quadratic penalty.
+
+    Without lines everything is content.
     """
     emit, move = np.zeros((N_FEATURES, 2)), np.zeros((2, 2))
-    documents = [(x, y) for x, y in documents if len(x)]
-    if not documents:
+    examples = [e for e in examples if len(e[3])]
+    if not examples:
         emit[0, 0] = 1
         return emit, move
-    # All documents side by side, padded to the longest of the bounded samples.
-    longest = max(len(x) for x, _ in documents)
-    x = np.zeros((len(documents), longest, N_FEATURES), np.float32)
-    on = np.zeros((len(documents), longest), bool)
-    y = np.array([s for _, s in documents])
-    for k, (lines, _) in enumerate(documents):
-        x[k, : len(lines)], on[k, : len(lines)] = lines, True
-    weight = 1 / on.sum()
-    gold = np.zeros((*on.shape, 2))
-    gold[np.arange(len(y)), :, y] = 1
-    gold *= on[..., None]
-    pairs = on[:, 1:].sum(1)
-    gold_move = np.array([[pairs[y == 0].sum(), 0], [0, pairs[y == 1].sum()]], float)
     square = [np.full_like(emit, 1e-8), np.full_like(move, 1e-8)]
     for _ in range(STEPS):
-        score = x @ emit
-        forward, backward = np.zeros_like(score), np.zeros_like(score)
-        forward[:, 0] = score[:, 0]
-        for t in range(1, longest):
-            step = np.logaddexp.reduce(forward[:, t - 1, :, None] + move, axis=1) + score[:, t]
-            forward[:, t] = np.where(on[:, t, None], step, forward[:, t - 1])
-        for t in range(longest - 2, -1, -1):
-            step = np.logaddexp.reduce(move + (score[:, t + 1] + backward[:, t + 1])[:, None, :], axis=2)
-            backward[:, t] = np.where(on[:, t + 1, None], step, 0)
-        total = np.logaddexp.reduce(forward[:, -1], axis=1)
-        node = np.exp(forward + backward - total[:, None, None]) * on[..., None]
-        both = forward[:, :-1, :, None] + move + (score + backward)[:, 1:, None, :] - total[:, None, None, None]
-        both = np.exp(both) * on[:, 1:, None, None]
-        for k, (w, g) in enumerate(((emit, np.einsum("dlf,dls->fs", x, gold - node) * weight - L2 * emit), (move, (gold_move - both.sum((0, 1))) * weight - L2 * move))):
+        _, *slopes = likelihood(examples, emit, move)
+        for k, w in enumerate((emit, move)):
+            g = slopes[k] - L2 * w
             square[k] += g * g
             w += RATE * g / np.sqrt(square[k])
     return emit, move
 
 
-def viterbi(x: np.ndarray, emit: np.ndarray, move: np.ndarray) -> np.ndarray:
-    """The best states of a document's lines; content where states tie."""
-    score = (x @ emit).tolist()
+def viterbi(scores: np.ndarray, move: np.ndarray) -> np.ndarray:
+    """The best states of a document's lines, from their emissions; content where states tie."""
+    score = scores.tolist()
     (m00, m01), (m10, m11) = move.tolist()
     a, b = score[0]
     back: list[tuple[int, int]] = []
@@ -186,35 +239,44 @@ def viterbi(x: np.ndarray, emit: np.ndarray, move: np.ndarray) -> np.ndarray:
     return np.array(out[::-1])
 
 
-def content_share(text: str, emit: np.ndarray, move: np.ndarray) -> float:
+def content_share(text: Lines, emit: np.ndarray, move: np.ndarray) -> float:
     """Share of the words that stand in content lines; 0 without words."""
-    return _share(lines_of(text), emit, move)
-
-
-def _share(lines: list[tuple[str, list[str]]], emit: np.ndarray, move: np.ndarray) -> float:
-    x, n = _observe(lines)
-    return float(n[viterbi(x, emit, move) == 0].sum() / n.sum()) if len(n) else 0.0
+    n = text.lengths
+    return float(n[viterbi(text.score(emit), move) == 0].sum() / n.sum()) if len(n) else 0.0
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
-    """The field, from at most ``sample`` labelled documents (those with the smallest hash of doc_id)."""
+    """The field, from at most ``sample`` labelled documents (those with the smallest hash of doc_id), whole.
+
+    Lines of many sites are found over all documents; a table without
+    ``source`` has none.
+    """
     ship(docs.sparkSession)
     known = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").cast("int").alias("quality"))
     known = known.withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id").limit(sample)
     # At most ``sample`` rows of two numbers: of a proven size.
     rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("h", "quality", "text")
+    if "source" in docs.columns:
+        shared = line_dedup.boilerplate(docs.select("source", "text"))
+        hits = rows.select("h", F.explode(line_dedup._hashes(F.col("text"))).alias("line")).join(shared, "line").groupBy("h").agg(F.collect_set("line").alias("shared"))
+        rows = rows.join(hits, "h", "left")
+    else:
+        rows = rows.withColumn("shared", F.lit(None).cast("array<long>"))
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = [observe("\n".join((t or "").split("\n")[:SAMPLE_LINES]))[0] for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("h"), b.column("quality"), pa.array([np.packbits(v.astype(bool), axis=1).tobytes() for v in x], pa.binary())], names=["h", "quality", "x"])
+            out = []
+            for q, text, shared in zip(*(b.column(c).to_pylist() for c in ("quality", "text", "shared"))):
+                t = Lines(text or "")
+                out.append((np.packbits(t.looks().astype(bool), axis=1).tobytes(), t.buckets().astype("<i2").tobytes(), t.lengths.astype("<i4").tobytes(), bytes(t.states(not q, frozenset(shared or ())))))
+            yield pa.RecordBatch.from_arrays([b.column("h"), *(pa.array([o[k] for o in out], pa.binary()) for k in range(4))], names=["h", "looks", "buckets", "lengths", "y"])
+        _hashes.clear()
 
-    lines = rows.mapInArrow(make, "h long, quality int, x binary")
+    lines = rows.select("h", "quality", "text", "shared").mapInArrow(make, "h long, looks binary, buckets binary, lengths binary, y binary")
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = sorted((h, x, q) for b in batches for h, q, x in zip(*(c.to_pylist() for c in b.columns)))
-        unpack = lambda x: np.unpackbits(np.frombuffer(x, np.uint8).reshape(-1, -(-N_FEATURES // 8)), axis=1, count=N_FEATURES)
-        emit, move = fit([(unpack(x).astype(np.float32), 0 if q else 1) for _, x, q in found])
+        found = sorted(x for b in batches for x in zip(*(c.to_pylist() for c in b.columns)))
+        emit, move = fit([_example(*x[1:]) for x in found])
         yield pa.RecordBatch.from_arrays([pa.array([emit.tobytes()], pa.binary()), pa.array([move.tobytes()], pa.binary())], names=["emit", "move"])
 
     model = lines.repartition(1).mapInArrow(learn, "emit binary, move binary").first()
@@ -223,13 +285,18 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.
     return np.frombuffer(model["emit"]).reshape(-1, 2), np.frombuffer(model["move"]).reshape(2, 2)
 
 
+def _example(looks: bytes, buckets: bytes, lengths: bytes, y: bytes) -> Example:
+    flags = np.unpackbits(np.frombuffer(looks, np.uint8).reshape(len(y), -(-N_LOOKS // 8)), axis=1, count=N_LOOKS).astype(np.float32)
+    return flags, np.frombuffer(buckets, "<i2").astype(np.int64), np.frombuffer(lengths, "<i4").astype(np.int64), np.frombuffer(y, np.uint8).astype(np.int64)
+
+
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Counts and verdict of every row of ``doc_id, text``.
 
     Null and empty texts have no words and fail the base rules. Repeated rows
     are judged each; other columns are ignored. Whole texts are read, of any
-    length and number of lines. ``content_share`` is null where the base rules
-    have decided.
+    length and number of lines; where both states of a line score the same it is
+    content. ``content_share`` is null where the base rules have decided.
     """
     emit, move = train(docs, labels)
     docs = docs.select("doc_id", "text")
@@ -240,9 +307,9 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
             rows = []
             for at in range(0, b.num_rows, 256):
                 for text in b.column("text").slice(at, 256).to_pylist():
-                    lines = lines_of(text or "")
-                    counts = _base(text or "", lines)
-                    share = None if counts[-1] else _share(lines, emit, move)
+                    lines = Lines(text or "")
+                    counts = lines.base()
+                    share = None if counts[-1] else content_share(lines, emit, move)
                     rows.append((*counts, share is not None and share >= CONTENT_SHARE, share))
             columns = list(zip(*rows)) if rows else [()] * 8
             types = [*[pa.int64()] * 5, pa.bool_(), pa.bool_(), pa.float64()]

@@ -288,7 +288,60 @@ def test_viterbi_is_the_best_path():
         score = x @ emit
         value = lambda p: score[np.arange(n), p].sum() + sum(move[a, b] for a, b in zip(p, p[1:]))  # noqa: B023, E731
         best = max(value(np.array([k >> j & 1 for j in range(n)])) for k in range(1 << n))
-        assert value(quality_rules.viterbi(x, emit, move)) == pytest.approx(best)
+        assert value(quality_rules.viterbi(score, move)) == pytest.approx(best)
+
+
+def _paths(e, emit, move):
+    """Score of every way of labelling a document's lines."""
+    looks, buckets, lengths, y = e
+    ends = np.cumsum(lengths)
+    score = np.array([looks[k] @ emit[: quality_rules.N_LOOKS] + quality_rules.WORDS * emit[quality_rules.N_LOOKS :][buckets[b - n : b]].mean(0) for k, (n, b) in enumerate(zip(lengths, ends))])
+    paths = [[k >> j & 1 for j in range(len(y))] for k in range(1 << len(y))]
+    return {tuple(p): score[np.arange(len(y)), p].sum() + sum(move[a, b] for a, b in zip(p, p[1:])) for p in paths}
+
+
+def test_likelihood_and_gradient_against_all_paths():
+    rng = np.random.default_rng(7)
+    made = []
+    for n in (1, 4, 6, 2):
+        lengths = rng.integers(1, 4, n)
+        made.append((rng.integers(0, 2, (n, quality_rules.N_LOOKS)).astype(np.float32), rng.integers(0, quality_rules.BUCKETS, lengths.sum()), lengths, rng.integers(0, 2, n)))
+    emit, move = rng.normal(size=(quality_rules.N_FEATURES, 2)), rng.normal(size=(2, 2))
+
+    def plain(emit, move):
+        ways = [_paths(e, emit, move) for e in made]
+        return sum(w[tuple(e[3].tolist())] - np.logaddexp.reduce(list(w.values())) for w, e in zip(ways, made)) / 13
+
+    value, g, to = quality_rules.likelihood(made, emit, move)
+    assert value == pytest.approx(plain(emit, move))
+    for w, d in ((emit, g), (move, to)):
+        places = np.argwhere(np.abs(d) > 0)[rng.permutation(np.count_nonzero(d))[:25]]
+        for k in map(tuple, places):
+            was = w[k]
+            w[k] = was + 1e-5
+            up = plain(emit, move)
+            w[k] = was - 1e-5
+            down = plain(emit, move)
+            w[k] = was
+            assert d[k] == pytest.approx((up - down) / 2e-5, abs=1e-6)
+
+
+def test_lines_of_a_good_document_can_be_boilerplate():
+    text = quality_rules.Lines("Own words here.\nShared by all.\nMore own words.\nOwn words here.\nLast.")
+    shared = frozenset({quality_rules._signed(quality_rules.xxhash.xxh64_intdigest(b"Shared by all.", 42))})
+    assert text.states(False, shared) == [0, 1, 0, 1, 0] and text.states(True, shared) == [1] * 5
+    assert quality_rules.Lines("Shared by all.\nx").states(False, shared) == [1, 0]
+    assert quality_rules.Lines("Shared by all.").states(False, shared) == [0]  # a copy, not boilerplate
+
+
+def test_states_follow_the_neighbours():
+    """The field learns how lines follow each other: equal looks get their state from what is around them."""
+    looks = lambda k: np.eye(quality_rules.N_LOOKS, dtype=np.float32)[k]
+    one = lambda kinds, y: (looks(kinds), np.zeros(len(kinds), np.int64), np.ones(len(kinds), np.int64), np.array(y))
+    emit, move = quality_rules.fit([one([1, 3, 3, 3, 1], [0] * 5), one([2, 3, 3, 3, 2], [1] * 5), one([1, 3, 3, 2], [0, 0, 1, 1])] * 5)
+    best = lambda kinds: quality_rules.viterbi(quality_rules.emissions(*one(kinds, [0])[:3], emit), move).tolist()
+    assert best([1, 3, 1]) == [0] * 3 and best([2, 3, 2]) == [1] * 3 and best([1, 1, 2, 2]) == [0, 0, 1, 1]
+    assert quality_rules.viterbi(np.zeros((3, 2)), np.zeros((2, 2))).tolist() == [0, 0, 0]
 
 
 def test_rules_query(spark, labelled):
