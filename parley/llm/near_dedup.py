@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parley.llm.session import cut
+from parley.llm.session import cut, free
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: 2 ** BIN_BITS bins, bands of ROWS bins each.
@@ -212,10 +212,11 @@ def keep_one(docs: DataFrame) -> DataFrame:
     Rows without a doc_id stay, and so do those without words. Of rows that
     repeat both a doc_id and the words of its text, one stays.
     """
+    key, name = free(docs.columns, "key"), free(docs.columns, "set")
     found = cut(_grouped(docs.filter("doc_id is not null").select("doc_id", "text")).filter("n > 0").select("doc_id", "key", "component_id"))
-    gone = found.filter("component_id <> doc_id").select("doc_id", F.col("key").alias(_free(docs, "key"))).distinct()
+    gone = found.filter("component_id <> doc_id").select("doc_id", F.col("key").alias(key)).distinct()
     again = found.filter("component_id = doc_id").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id")
-    out = docs.withColumn(_free(docs, "key"), F.xxhash64("text")).join(_small(gone), ["doc_id", _free(docs, "key")], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    out = docs.withColumn(key, F.xxhash64("text")).join(_small(gone), ["doc_id", key], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
     if again.isEmpty():
         return out
     # Few ids are repeated: only their rows move.
@@ -223,19 +224,10 @@ def keep_one(docs: DataFrame) -> DataFrame:
     once, rest = out.join(_small(again), "doc_id", "left_semi"), out.join(_small(again), "doc_id", "left_anti")
     # Rows without words are told apart by nothing else, so each has a number of its own.
     own = F.when(F.size(shingles(F.col("text"))) > 0, F.xxhash64(shingles(F.col("text")))).otherwise(F.monotonically_increasing_id())
-    name = _free(docs, "set")
     once = once.withColumn(name, own).dropDuplicates(["doc_id", name])
     return once.select(*[F.col(f"`{c}`") for c in docs.columns]).union(rest.select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
-def _free(docs: DataFrame, name: str) -> str:
-    """A column name that the table does not have."""
-    taken = {c.lower() for c in docs.columns}
-    while name in taken:
-        name = f"_{name}"
-    return name
-
-
 def _small(ids: DataFrame) -> DataFrame:
     """Broadcast a table of ids if it is small, by its counted rows."""
     ids = cut(ids)

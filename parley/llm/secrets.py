@@ -21,7 +21,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm.session import cut
+from parley.llm.session import cut, free
 
 NAME = "pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth[_-]?key|secret[_-]?key|private[_-]?key|client[_-]?secret|credentials?"
 RUN = "A-Za-z0-9+/_\\-"
@@ -46,14 +46,32 @@ CANDIDATE = (
 PREFIX = "^(?:AKIA|ASIA|ghp_|gho_|ghs_|github_pat_|glpat-|xox[abprs]-|sk_live_|rk_live_|sk-|AIza|eyJ|npm_|SG)"
 SECRET_NEAR = f"(?i)(?:{NAME}|bearer|authorization|key|aws|login)[^A-Za-z]{{0,6}}$"
 HARMLESS_NEAR = "(?i)(?:sha-?\\d*|md5|commit|revision|checksum|digest|hash|integrity|etag|uuid|guid|isbn|issn|doi|order|invoice|phone|tel|fax|call|card|account|version|build|serial|ticket|example|sample|test|dummy|fake|placeholder|id|ref|no)[^A-Za-z]{0,6}$"
-DICTIONARY = "example|sample|placeholder|password|passwort|change|your|here|secret|token|test|dummy|fake|user|name|admin|data|file|image|photo|index|page|value|string|main|master|branch|version|release|build|hello|world|default|config|server|client|public|private|access|login|letmein|welcome|qwerty|abcdef|12345|00000|xxxx|todo|none|null|incorrect|required|invalid|missing|forgotten|reset|report|final|draft|meeting|invoice|order|article|title|screen|shot|video|track|chapter|section|table|figure"
+#: Words that identifiers, paths and placeholders are made of; the longest that fits is taken first.
+DICTIONARY = "|".join(sorted(
+    """about above abcdef accept access account action active actual added address admin after agent alert alias align allow alpha alternate amount analysis android animation answer apache append apple application apply archive area argument array article asset assign async attach attribute audio author auto avatar
+    back background backup balance banner base basic batch before begin bench beta between binary block board body book border bottom branch bridge browser buffer build bundle button bytes cache calendar call camera cancel canvas capture card category center chain change channel chapter character chart check child
+    choice city class clean clear click client clock clone close cloud cluster code collection color column command comment commit common company compare compile complete component compress computer config connect console constant contact container content context control convert cookie copy core corner correct count
+    country course cover create credit current custom dashboard data database date debug decode default define delete delta demo deploy depth describe design detail device dialog dictionary diff digest direct directory disable discount disk display document domain double download draft draw drive driver dummy duplicate
+    edge edit editor effect element email empty enable encode engine enter entity entry error escape event example exception exchange execute exist expand expire export extend extension external extra factor fail fake false family fast feature fetch field figure file filter final find finish first fixed flag flash
+    float floor flow focus folder follow font footer force foreign forgot forgotten form format forward found frame free front full function future gallery game gateway general generate global grade gradient grammar graph grid group growth guest guide handle hash head header health height hello help hidden high history
+    home host hotel hover html http icon ident image import include incorrect index info inner input insert install instance integer internal invalid invoice item java join jpeg json jump keep kernel label language large last latest launch layer layout learn left legacy length letmein letter level library license light
+    limit line link linux list listen little load local location lock login logo long loop lower mail main make manager manual many mapping margin mark market master match matrix maximum meeting member memory menu merge message meta method metric middle migration minimum minute missing mobile mock mode model module
+    monitor month mount mouse move movie music name native navigation network news next node none normal note null number object offer office offset online open operation option orange order origin other outer output overlay owner package page paint panel paper parallel param parent parse part partner password passwort path
+    pattern payment people percent perform period person phone photo picture pipeline pixel place placeholder plain platform player please plugin point policy pool popup port position post power present preview previous price primary print priority private process product profile program progress project prompt property
+    protocol provider proxy public pull push python quality query question queue quick quit qwerty radio random range rank rate react read ready reason rebuild receive recent record redirect reference region register relation release remote remove rename render repeat replace reply report request required reset resize
+    resource response rest restore result return reverse review right role room root rotate round route router ruby rule running safe sale sample save scale scan schedule schema school scope score screen script scroll search season second secret section secure select send sense sequence serial series server service session
+    setting setup shadow shape share sheet shell shift shop short shot show side sign simple single site size skip slide small smart snapshot social socket solution sort sound source space special speed split sport spring stack staff stage standard start state static station status step stop storage store story stream
+    street string strong struct student studio style subject submit success suffix summary super support switch symbol sync system table target task team template term test text theme thread thumb ticket time title todo token tool topic total touch tower town trace track train transfer transform travel tree trigger true
+    trunk type undefined under union unique unit unknown unlock update upgrade upload upper user utility valid value variable vector vendor verify version vertical video view virtual visit voice volume wait wall warning watch water weather week weight welcome white widget width window winter wire within word work world
+    wrap wrong xxxx year yellow yesterday your zero zone 12345 00000""".split(),
+    key=lambda w: (-len(w), w),
+))
 FEATURES = ["length", "digits", "upper", "lower", "symbols", "distinct", "transitions", "hex", "decimal", "uuid", "words", "prefix", "path", "near_secret", "near_harmless", "assigned", "quoted", "header"]
 TREES, DEPTH, SEED = 24, 8, 11
 THRESHOLD = 0.5
 MASK = "[SECRET]"
-KEY, VALUES = "__parley_key", "__parley_values"
-#: Characters of secrets up to which the lists of the documents that hold them are broadcast.
-BROADCAST_CHARS = 16_000_000
+#: Secrets (24 bytes each) up to which the places of all of them are broadcast; beyond, they are joined, equal texts in so many parts.
+BROADCAST_SECRETS, SALTS = 500_000, 32
 
 
 def candidates(docs: DataFrame) -> DataFrame:
@@ -164,8 +182,8 @@ def scan(docs: DataFrame) -> DataFrame:
 
     ``n`` (from 1), ``start`` and ``length`` in code points, ``kind``, digest of
     the value, the forest's ``score`` and ``is_secret``. Values themselves are
-    not given out. Null and empty texts have no rows; repeated rows give theirs
-    each; other columns are ignored.
+    not given out. A score of one half is a secret. Null and empty texts have no
+    rows; repeated rows give theirs each; other columns are ignored.
     """
     kind = F.when(F.col("header") == 1, "private_key").when(F.col("assigned") == 1, "assignment").when(F.col("prefix") == 1, "known_prefix").otherwise("run")
     start = (F.col("start") + F.length("found") - F.length("value")).cast("long")
@@ -175,17 +193,31 @@ def scan(docs: DataFrame) -> DataFrame:
 def redact(docs: DataFrame) -> DataFrame:
     """``docs``, all rows and columns, with each secret's value in ``text`` replaced by ``MASK``.
 
-    A column ``n_chars`` follows the new text. Null texts stay null.
+    Only the places that were judged change: the same characters elsewhere
+    stay. A column ``n_chars`` follows the new text. Null texts stay null.
     """
     columns = docs.columns
-    found = judged(docs.select(F.lit(0).alias("doc_id"), "text")).filter("is_secret")
-    found = cut(found.groupBy("key").agg(F.array_sort(F.collect_set("value"), lambda a, b: F.length(b) - F.length(a)).alias("values")))
-    found = found.toDF(KEY, VALUES)
-    size = found.agg(F.sum(F.aggregate(VALUES, F.lit(64).cast("bigint"), lambda n, v: n + F.length(v)))).first()[0]
-    small = (size or 0) <= BROADCAST_CHARS
-    out = docs.withColumn(KEY, F.xxhash64("text")).join(F.broadcast(found) if small else found, KEY, "left")
-    clean: Column = F.when(F.col(VALUES).isNull(), F.col("text")).otherwise(F.aggregate(VALUES, F.col("text"), lambda t, v: F.replace(t, v, F.lit(MASK))))
-    out = out.withColumn("text", clean).select(*[F.col(f"`{c}`") for c in columns])
+    key, salt, spans = (free(columns, c) for c in ("key", "salt", "spans"))
+    found = judged(docs.select(F.lit(0).alias("doc_id"), "text")).filter("is_secret").select("key", "n", F.length("value").alias("length")).distinct()
+    found = cut(found.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("n", "length"))).alias(spans)).withColumnRenamed("key", key))
+    small = (found.agg(F.sum(F.size(spans))).first()[0] or 0) <= BROADCAST_SECRETS
+    out = docs.withColumn(key, F.xxhash64("text"))
+    if small:
+        out = out.join(F.broadcast(found), key, "left")
+    else:
+        # A third of all rows may have one text, or none: their key has several parts.
+        out = out.withColumn(salt, F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
+        out = out.join(found.withColumn(salt, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))), [key, salt], "left")
+
+    def put(found: Column, gaps: Column) -> Column:
+        def one(gap: Column, i: Column) -> Column:
+            m, n = F.get(found, i), F.try_element_at(F.col(spans), i + 1)
+            return F.concat(gap, F.coalesce(F.when(n.isNull(), m).otherwise(F.concat(F.left(m, F.length(m) - n), F.lit(MASK))), F.lit("")))
+
+        return F.array_join(F.transform(gaps, one), "")
+
+    text = F.when(F.col(spans).isNull() | F.col("text").isNull(), F.col("text")).otherwise(put(F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)), F.split("text", CANDIDATE, -1)))
+    out = out.withColumn("text", text).select(*[F.col(f"`{c}`") for c in columns])
     if "n_chars" in columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out
