@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parley.llm.session import cut, ship
+from parley.llm.session import cut, free, ship
 
 MIN_SITES = 10
 #: Relative standard deviation of the sketches: 32 registers, so up to a third of them an
@@ -32,13 +32,13 @@ MIN_SITES = 10
 RSD = 0.2
 #: Estimates from MIN_SITES / NEAR to MIN_SITES * NEAR are near the threshold.
 NEAR = 3
-#: A document with more than this percentage of its characters in boilerplate lines is left whole:
-#: the rule of ``op7_line_dedup`` and its SQL. ``cleaned`` leaves whole only those that have a copy.
-MAX_PERCENT = 50
+#: For ``cleaned``: a document with more than this percentage of its characters in boilerplate lines may be a copy.
+COPY_PERCENT = 50
 #: Boilerplate line hashes up to which they are broadcast (8 bytes each).
 BROADCAST_LINES = 1_000_000
+#: Parts of a text's hash beyond that.
+SALTS = 32
 WORD = re.compile(r"[^\x20\x09-\x0d]")
-KEY, DROP, COPIED = "__parley_key", "__parley_drop", "__parley_copied"
 
 
 def _hashes(text: Column) -> Column:
@@ -62,34 +62,44 @@ def boilerplate(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITE
     return sure.union(exact.filter(F.col("n_sites") >= min_sites).select("line"))
 
 
-def strip(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES, max_percent: int = MAX_PERCENT, names: tuple[str, str] = ("n_lines", "n_removed"), copies: bool = False) -> DataFrame:
+def strip(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES, names: tuple[str, str] = ("n_lines", "n_removed"), keep_copies: bool = False) -> DataFrame:
     """``docs``, all columns and rows, with boilerplate lines taken out of ``text``.
 
     Adds ``n_lines`` (lines of the text as it came) and ``n_removed``, by the
-    names given, in place of columns of these names. Null texts stay null, with no lines. A document
-    that is boilerplate for more than ``max_percent`` of its characters (line
-    feeds apart) is left whole; with ``copies``, only if another row has the same
-    text, so that document dedup keeps one of them. All copies of a line go,
-    wherever they stand.
+    names given, in place of columns of these names. Null texts stay null, with
+    no lines; a text of nothing but boilerplate becomes empty. All copies of a
+    line go, wherever they stand, in repeated rows too. With ``keep_copies`` a
+    document that is boilerplate for more than ``COPY_PERCENT`` of its
+    characters (line feeds apart) stays whole if another row has the same text:
+    its lines are at many sites because it is, and document dedup keeps one.
     """
     ship(docs.sparkSession)
     docs = docs.drop(*names)
+    key, drop_name, copied_name = (free([*docs.columns, *names], c) for c in ("key", "drop", "copied"))
     found = cut(boilerplate(docs, site, min_sites))
     n = found.count()
     out = T.StructType([*docs.schema.fields, *(T.StructField(n, T.LongType()) for n in names)])
     shared = docs.sparkSession.sparkContext.broadcast(frozenset(r["line"] for r in found.collect())) if n <= BROADCAST_LINES else None
-    drop = None if shared else DROP
+    drop = None if shared else drop_name
     if drop:
-        hits = docs.select(F.xxhash64("text").alias(KEY), F.explode(_hashes(F.col("text"))).alias("line")).distinct()
-        hits = hits.join(found, "line").groupBy(KEY).agg(F.collect_set("line").alias(DROP))
-        docs = docs.withColumn(KEY, F.xxhash64("text")).join(hits, KEY, "left").drop(KEY)
-    if copies:
+        hits = docs.select(F.xxhash64("text").alias(key), F.explode(_hashes(F.col("text"))).alias("line")).distinct()
+        hits = hits.join(found, "line").groupBy(key).agg(F.collect_set("line").alias(drop))
+        docs = _spread(docs.withColumn(key, F.xxhash64("text")), hits, key)
+    if keep_copies:
         # Few texts are mostly boilerplate: their hashes are counted, and those of more than one row come back.
-        over = docs.mapInArrow(lambda batches: _over(batches, shared, drop, max_percent), f"{KEY} long")
-        copied = cut(over.groupBy(KEY).agg(F.count("*").alias(COPIED)).filter(F.col(COPIED) > 1))
-        small = copied.count() <= BROADCAST_LINES
-        docs = docs.withColumn(KEY, F.xxhash64("text")).join(F.broadcast(copied) if small else copied, KEY, "left").drop(KEY)
-    return docs.mapInArrow(lambda batches: _rewrite(batches, shared, drop, max_percent, names, COPIED if copies else None), out)
+        over = docs.mapInArrow(lambda batches: _over(batches, shared, drop, key), f"{key} long")
+        copied = cut(over.groupBy(key).agg(F.count("*").alias(copied_name)).filter(F.col(copied_name) > 1))
+        docs = docs.withColumn(key, F.xxhash64("text"))
+        docs = docs.join(F.broadcast(copied), key, "left").drop(key) if copied.count() <= BROADCAST_LINES else _spread(docs, copied, key)
+    return docs.mapInArrow(lambda batches: _rewrite(batches, shared, drop, names, copied_name if keep_copies else None), out)
+
+
+def _spread(docs: DataFrame, found: DataFrame, key: str) -> DataFrame:
+    """Left join on a text's hash, where a third of all rows may have one text, or none: each key has ``SALTS`` parts."""
+    salt = free([*docs.columns, *found.columns], "salt")
+    docs = docs.withColumn(salt, F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
+    found = found.withColumn(salt, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return docs.join(found, [key, salt], "left").drop(key, salt)
 
 
 def _signed(h: int) -> int:
@@ -102,12 +112,12 @@ def _kept(text: str | None, known: frozenset) -> tuple[list[str], list[str]]:
     return lines, [x for x in lines if _signed(xxhash.xxh64_intdigest(x.encode(), 42)) not in known or WORD.search(x) is None] if known else lines
 
 
-def _mostly(lines: list[str], kept: list[str], max_percent: int) -> bool:
-    """Whether more than ``max_percent`` of the characters would go."""
-    return sum(map(len, lines)) * (100 - max_percent) > sum(map(len, kept)) * 100
+def _mostly(lines: list[str], kept: list[str]) -> bool:
+    """Whether more than ``COPY_PERCENT`` of the characters would go."""
+    return sum(map(len, lines)) * (100 - COPY_PERCENT) > sum(map(len, kept)) * 100
 
 
-def _over(batches: Iterator[pa.RecordBatch], shared, column: str | None, max_percent: int) -> Iterator[pa.RecordBatch]:
+def _over(batches: Iterator[pa.RecordBatch], shared, column: str | None, key: str) -> Iterator[pa.RecordBatch]:
     """Hashes of the texts, of each row, that are mostly boilerplate."""
     known = shared.value if shared else frozenset()
     for b in batches:
@@ -116,12 +126,12 @@ def _over(batches: Iterator[pa.RecordBatch], shared, column: str | None, max_per
         keys = []
         for k in range(b.num_rows):
             text = texts[k].as_py()
-            if _mostly(*_kept(text, known if drops is None else frozenset(drops[k] or ())), max_percent):
+            if _mostly(*_kept(text, known if drops is None else frozenset(drops[k] or ()))):
                 keys.append(_signed(xxhash.xxh64_intdigest(text.encode(), 42)))
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64())], names=[KEY])
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64())], names=[key])
 
 
-def _rewrite(batches: Iterator[pa.RecordBatch], shared, column: str | None, max_percent: int, added: tuple[str, str], copied: str | None = None) -> Iterator[pa.RecordBatch]:
+def _rewrite(batches: Iterator[pa.RecordBatch], shared, column: str | None, added: tuple[str, str], copied: str | None) -> Iterator[pa.RecordBatch]:
     known = shared.value if shared else frozenset()
     for b in batches:
         texts, n_lines, n_removed = [], [], []
@@ -132,7 +142,7 @@ def _rewrite(batches: Iterator[pa.RecordBatch], shared, column: str | None, max_
             if drops is not None:
                 known = frozenset(drops[k] or ())
             lines, kept = _kept(text, known)
-            if _mostly(lines, kept, max_percent) and (copied is None or b.column(copied)[k].is_valid):
+            if copied and b.column(copied)[k].is_valid and _mostly(lines, kept):
                 kept = lines
             texts.append(text if len(kept) == len(lines) else "\n".join(kept))
             n_lines.append(len(lines))
@@ -149,7 +159,7 @@ def cleaned(docs: DataFrame) -> DataFrame:
     holds loses its boilerplate lines, however many they are.
     """
     columns = docs.columns
-    out = strip(docs, names=("__parley_lines", "__parley_removed"), copies=True).select(*[F.col(f"`{c}`") for c in columns])
+    out = strip(docs, names=(free(columns, "n_lines"), free(columns, "n_removed")), keep_copies=True).select(*[F.col(f"`{c}`") for c in columns])
     if "n_chars" in columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out

@@ -106,16 +106,9 @@ WITH l AS (
   SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS k FROM documents
 ), b AS (
   SELECT line FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY line HAVING count(DISTINCT source) >= 10
-), j AS (SELECT l.*, b.line IS NOT NULL AS bad FROM l LEFT JOIN b ON l.line = b.line),
-d AS (
-  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (bad) AS n_bad,
-    sum(length(line)) * 50 > coalesce(sum(length(line)) FILTER (NOT bad), 0) * 100 AS whole,
-    coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (NOT bad), '') AS rest
-  FROM j GROUP BY doc_id
-)
-SELECT doc_id, n_lines, CAST(CASE WHEN whole THEN 0 ELSE n_bad END AS BIGINT) AS n_removed,
-  CASE WHEN whole THEN text ELSE rest END AS text
-FROM d JOIN documents USING (doc_id)
+), j AS (SELECT l.*, b.line IS NOT NULL AS bad FROM l LEFT JOIN b ON l.line = b.line)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (bad) AS n_removed, coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (NOT bad), '') AS text
+FROM j GROUP BY doc_id
 """,
     "op9_nearest_neighbours": """
 WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE embedding IS NOT NULL),

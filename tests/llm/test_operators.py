@@ -526,14 +526,14 @@ def test_line_dedup(spark, monkeypatch):
     sites = [f"s{k}" for k in range(12)]
     shared, nearly = "Subscribe to our letter.", "Seen at nine sites."
     texts = [f"First line {k} of its own text here.\n{shared}\nLast line {k} goes on." + (f"\n{nearly}" if k < 9 else "") + "\n" for k in range(12)]
-    texts += ["one\none", None, "", "\n", f"{shared}\nx"]
+    texts += ["one\none", None, "", "\n", f"{shared}\nx", shared, shared]
     d = docs(spark, texts, sites)
 
     def check():
         rows = line_dedup.strip(d).orderBy("doc_id").collect()
         assert [r["text"] for r in rows[:12]] == [t.replace(shared + "\n", "") for t in texts[:12]]
-        assert [(r["text"], r["n_removed"]) for r in rows[12:]] == [(t, 0) for t in texts[12:]]
-        assert [r["n_lines"] for r in rows[12:]] == [2, 0, 1, 2, 2] and rows[0]["key"] == "clash"
+        assert [(r["text"], r["n_removed"]) for r in rows[12:]] == [*((t, 0) for t in texts[12:-3]), ("x", 1), ("", 1), ("", 1)]
+        assert [r["n_lines"] for r in rows[12:]] == [2, 0, 1, 2, 2, 1, 1] and rows[0]["key"] == "clash"
 
     check()
     monkeypatch.setattr(line_dedup, "BROADCAST_LINES", 0)
