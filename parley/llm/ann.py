@@ -138,39 +138,44 @@ def index(points: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
 def search(trees: DataFrame, queries: DataFrame, k: int = K, factor: float = 1.0, block: int = BLOCK) -> DataFrame:
     """``query_id, rank, vec_id, score``: the k nearest rows of each ``vec_id, v`` query, but its own.
 
-    Euclidean distance in double precision, ties to the smaller id. The stored
-    trees are read once per block of queries; a block is of a bounded size.
+    Euclidean distance in double precision, ties to the smaller id; of queries
+    with one id the smallest vector counts. The driver and each executor hold
+    one block of queries at a time, and the stored trees are read once for it.
     """
     spark = trees.sparkSession
-    queries = cut(queries.withColumn("b", F.pmod(F.xxhash64("vec_id"), F.lit(max(1, -(-queries.count() // block))))))
+    n = max(1, -(-queries.count() // block))
+    queries = cut(queries.groupBy("vec_id", F.size("v").alias("dim")).agg(F.min("v").alias("v")).withColumn("b", F.pmod(F.xxhash64("vec_id"), F.lit(n))))
     found = None
-    for b in sorted(r["b"] for r in queries.select("b").distinct().collect()):
-        rows: dict[int, dict[int, list[float]]] = {}
-        for r in queries.filter(F.col("b") == b).collect():
-            same = rows.setdefault(len(r["v"]), {})
-            same[r["vec_id"]] = min(r["v"], same.get(r["vec_id"], r["v"]))
-        shared = spark.sparkContext.broadcast({d: (np.array(list(x), np.int64), np.array(list(x.values()))) for d, x in rows.items()})
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for dim, raw in zip(batch.column("dim").to_pylist(), batch.column("tree")):
-                    if dim not in shared.value:
-                        continue
-                    tree = Tree.load(raw.as_py())
-                    ids, q = shared.value[dim]
-                    at, d = tree.search(ids, q, k, factor)
-                    one, col = np.nonzero(at >= 0)
-                    rows = at[one, col]
-                    # The distance itself, summed in order of the components.
-                    exact = np.sqrt(np.add.accumulate((q[one] - tree.vectors[rows]) ** 2, axis=1)[:, -1])
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[one]), pa.array(tree.ids[rows]), pa.array(exact)], names=["query_id", "vec_id", "score"])
-
-        part = trees.select("dim", "tree").mapInArrow(run, "query_id long, vec_id long, score double")
+    for b in range(n):
+        # About ``block`` rows of one size each, whatever the number of queries.
+        rows = queries.filter(F.col("b") == b).select("vec_id", "dim", "v").toArrow()
+        dims = rows.column("dim").to_numpy()
+        parts = {int(d): rows.filter(pa.array(dims == d)) for d in np.unique(dims)}
+        shared = spark.sparkContext.broadcast({d: (t.column("vec_id").to_numpy(), t.column("v").combine_chunks().flatten().to_numpy().reshape(-1, d)) for d, t in parts.items()})
+        part = trees.select("dim", "tree").mapInArrow(_searcher(shared, k, factor), "query_id long, vec_id long, score double")
+        ranked = part.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id")))
+        part = cut(ranked.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"))
+        shared.destroy()
         found = part if found is None else found.union(part)
-    if found is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id")))
-    return ranked.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found
+
+
+def _searcher(shared, k: int, factor: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for dim, raw in zip(batch.column("dim").to_pylist(), batch.column("tree")):
+                if dim not in shared.value:
+                    continue
+                tree = Tree.load(raw.as_py())
+                ids, q = shared.value[dim]
+                at, _ = tree.search(ids, q, k, factor)
+                one, col = np.nonzero(at >= 0)
+                rows = at[one, col]
+                # The distance itself, summed in order of the components.
+                exact = np.sqrt(np.add.accumulate((q[one] - tree.vectors[rows]) ** 2, axis=1)[:, -1])
+                yield pa.RecordBatch.from_arrays([pa.array(ids[one]), pa.array(tree.ids[rows]), pa.array(exact)], names=["query_id", "vec_id", "score"])
+
+    return run
 
 
 def neighbours(rows: DataFrame, k: int = K, factor: float = 1.0, every: int = EVERY) -> DataFrame:
