@@ -166,9 +166,10 @@ def mark(rows: DataFrame, key: str, built: DataFrame, into: str = "listed") -> D
     if len(passes) == 1:
         return judged(passes[0], rows)
     of = F.pmod(F.xxhash64(F.coalesce(F.col(key), F.lit(""))), F.lit(n)).cast("int")
-    made = [judged(p, rows.filter(of.isin(p))) for p in passes]
+    # One pass is stored before the next is broadcast, so the bound holds for all of them together.
+    made = [cut(judged(p, rows.filter(of.isin(p)))) for p in passes]
     made.append(judged([], rows.filter(~of.isin([s for p in passes for s in p]))))
-    return made[0] if len(made) == 1 else _union(made)
+    return _union(made)
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
