@@ -10,17 +10,25 @@ from pyspark.sql import functions as F
 from parley.functions import text
 from parley.operators import grouping
 
-#: Parts of replies that refuse, moralise or speak as a model; in lower case, our own list.
-REFUSALS = (
-    "as an ai", "as a language model", "as an artificial intelligence", "i am an ai", "i'm an ai", "i am just a machine", "i'm only a program",
-    "i cannot help with", "i can't help with", "i cannot assist", "i can't assist", "i am unable to", "i'm unable to", "i am not able to", "i'm not able to",
-    "i cannot fulfil", "i can't fulfil", "i cannot comply", "i can't comply", "i cannot provide", "i can't provide", "i cannot create", "i can't create",
-    "i must decline", "i have to decline", "i won't be able to", "i will not be able to", "it's not appropriate", "it would be inappropriate", "it is not appropriate",
-    "it is unethical", "it would be unethical", "it is illegal to", "goes against my", "against my programming", "against my guidelines", "my guidelines", "content policy",
-    "i do not have personal", "i don't have personal", "i do not have feelings", "i don't have feelings", "i do not have opinions", "i don't have opinions", "i do not have access to", "i don't have access to",
-    "my training data", "my knowledge cutoff", "knowledge cut-off", "real-time information", "i apologize, but", "i'm sorry, but i", "i am sorry, but i", "sorry, i cannot", "sorry, i can't",
-    "promote harm", "harmful or offensive", "respectful and inclusive", "it is important to remember", "it's important to note", "consult a professional", "seek professional help",
-)
+#: Parts of replies that refuse, moralise or speak as a model; in lower case, none holds another.
+REFUSALS = tuple((
+    "ableist|activities that could harm|activities that could undermine|adhere to safety|adherence to the law|against my programming|ai assistant|"
+    "ai principles|an ai language|as a language model|as a large language model|as an ai|as an artificial intelligence|bias|"
+    "cannot engage in discussions|cannot provide|cannot support or promote|capitalism|chatgpt|committed to promoting|communist|consensual|"
+    "consult a professional|content policy|dangerous activities|derogatory|discriminat|domestic violence|empowerment|ensure the safety|ethic|extremist|"
+    "feminis|focus on promoting safety|gender inequality|gender-based|glorify|harmful|hate speech|hateful|hurtful|i am just a machine|i am not able to|"
+    "i am sorry, but i|i am unable to|i apologize, but|i can't assist|i can't comply|i can't create|i can't fulfil|i can't help with|i can't provide|"
+    "i cannot assist|i cannot comply|i cannot create|i cannot fulfil|i cannot help with|i do not have access to|i do not have feelings|"
+    "i do not have opinions|i do not have personal|i don't have access to|i don't have feelings|i don't have opinions|i don't have personal|"
+    "i have to decline|i must decline|i will not be able to|i won't be able to|i'm not able to|i'm only a program|i'm sorry, but i|i'm unable to|"
+    "illegal|inappropriate|inclusive workplace|inclusivity|it is important to|it is never okay|it is not appropriate|it's important to|"
+    "it's not appropriate|jeopardize the safety|knowledge cut-off|lawful information|legality|lgbt|maintain user safety|microaggression|morals|"
+    "my guidelines|my knowledge cutoff|my training data|not able to provide|not be appropriate|not within the scope|offensive|openai|please refrain|"
+    "pose a risk to others|potentially dangerous|prioritize human safety|prioritize safety|prioritize user|programming prohibits|promote harm|"
+    "promote safety|promote the well-being|racial|racis|real-time information|real-world consequences|respectful and inclusive|responsible ai|"
+    "responsible information|safe information|safe spaces|seek professional help|sexis|sorry, i can't|sorry, i cannot|stereotype|supremacist|"
+    "transgender|unable to offer assistance|unacceptable|undermine the stability|underrepresentation|well-being of all users"
+).split("|"))
 NO_OUTPUT = ("nooutput", "no output", "noinput", "no input")
 
 

@@ -65,7 +65,8 @@ def examples(episodes: DataFrame, budget: int = BUDGET, fmt: str = "markers", po
     """``prompt, generation, identifier`` of every model turn, with its place ``ex`` in the episode.
 
     Other columns of the episodes stay. Episodes that are null, empty, or do
-    not start with the system's turn give no example.
+    not start with the system's turn give no example. A prompt in the format of
+    markers that does not start with the system's marker ends the job.
     """
     name, as_text, lead_in = formats.lookup(fmt)
     rest = [c for c in episodes.columns if c not in ("identifier", "turns")]
@@ -76,6 +77,8 @@ def examples(episodes: DataFrame, budget: int = BUDGET, fmt: str = "markers", po
     last = F.get("turns", F.col("_w.end"))
     past = F.slice("_said", F.col("_w.start") + 1, F.col("_w.end") - F.col("_w.start"))
     prompt = F.concat(F.get("_said", F.lit(0)), F.array_join(past, ""), lead_in(last))
+    if name == "markers":
+        prompt = F.when(prompt.startswith("<|system|>"), prompt).otherwise(F.raise_error(F.concat(F.lit("a prompt does not start with the system's turn: "), F.left(prompt, F.lit(200)))))
     reply = text.strip(last["utterance"])
     each = each.select(*rest, "ex", F.concat_ws("-", "identifier", F.col("ex").cast("string")).alias("identifier"), prompt.alias("prompt"), F.concat(reply, F.lit(formats.ENDINGS.get(name, ""))).alias("generation"))
     key = F.col("identifier")

@@ -85,7 +85,12 @@ COUNTER = ("Go by the context, even where it is wrong.", "The context may be fal
 PRELUDES = ("Context:", "What is given:", "Use this:", "The text:", "Background:")
 ACQUAINT = ("A talk between <MODEL> and <USER>.", "<MODEL> and <USER> get to know each other.", "You are <MODEL>; <USER> is the other one.", "Play <MODEL> in a chat with <USER>.", "<USER> talks to <MODEL>, which is you.")
 #: Parts of inputs that show that an entry marked as counterfactual is factual.
-FACTS = ("water boils at", "the capital of france is paris", "the earth orbits the sun")
+FACTS = (
+    "water boils at", "the capital of france is paris", "the earth orbits the sun", "the moon orbits the earth", "mount everest is the highest", "the pacific is the largest ocean", "gravity was described by newton", "the theory of relativity",
+    "white light is a mix of colors", "the first to walk on the moon", "the first woman to fly across the atlantic", "lost while flying around the world", "the great fire of london", "began in a bakery", "the mona lisa was painted by", "a painter who also drew machines",
+    "won two nobel prizes for work on radioactivity", "led a march to the sea for salt", "freed his country without violence", "ended slavery in the united states", "spoke of a dream in washington", "refused to give up her seat", "the wall that kept out northern invaders", "defeated near waterloo",
+    "the normans won at hastings", "the ship that struck an iceberg", "sailed west and reached the americas", "a naval battle that turned the war", "wrote plays and sonnets in stratford", "turned down the presidency of", "energy equals mass times the square of the speed of light",
+)
 #: Threads of these names hold no roleplay.
 NO_ROLEPLAY = ("o.o.c", "ooc", *(f"character {x}" for x in ("list", "profile", "roster", "sheet")))
 BROKEN_THREADS = ("SAO: Aincrad (1x1 between",)
@@ -93,7 +98,14 @@ BLOCKED_TAGS = ("cover art", "collaboration", "steam", "parser", "walkthrough",
 REDACTIONS = tuple(f"[{x}REDACTED]" for x in ("NAME_IN_MESSAGE_", "", "FIRST_NAME_", "USERNAME_", "NAME_"))
 APOLOGIES = ("I apologize", "I'm sorry, but")
 #: Names of an assistant, longest first; later entries see what earlier ones made.
-RENAMES = (("Claude Instant", "Parley"), ("I'm Claude", "I'm Parley"), ("I am Claude", "I am Parley"), ("named Claude", "named Parley"), ("Claude", "Parley"), ("Anthropic", "its makers"))
+RENAMES = (
+    ("I'm Claude, an AI assistant created by Anthropic", "I'm Parley, an assistant"), ("I am Claude, an AI assistant created by Anthropic", "I am Parley, an assistant"), ("I'm Claude, an AI assistant made by Anthropic", "I'm Parley, an assistant"), ("I am Claude, an AI model created by Anthropic", "I am Parley, a model"),
+    ("Claude, a language model trained by Anthropic", "Parley, a language model"), ("Claude, an assistant from Anthropic", "Parley, an assistant"), ("Claude Instant", "Parley"), ("Hi, I'm Claude", "Hi, I'm Parley"), ("Hello! I'm Claude", "Hello! I'm Parley"), ("Hey Claude", "Hey Parley"), ("Dear Claude", "Dear Parley"),
+    ("Thanks, Claude", "Thanks, Parley"), ("Thank you, Claude", "Thank you, Parley"), ("Thank you Claude", "Thank you Parley"), ("Good morning Claude", "Good morning Parley"), ("Good evening Claude", "Good evening Parley"), ("Goodbye Claude", "Goodbye Parley"), ("Bye Claude", "Bye Parley"), ("Welcome, Claude", "Welcome, Parley"),
+    ("my name is Claude", "my name is Parley"), ("My name is Claude", "My name is Parley"), ("My name's Claude", "My name's Parley"), ("I'm called Claude", "I'm called Parley"), ("call me Claude", "call me Parley"), ("known as Claude", "known as Parley"), ("I'm Claude", "I'm Parley"), ("I am Claude", "I am Parley"),
+    ("This is Claude", "This is Parley"), ("As Claude", "As Parley"), ("with Claude here", "with Parley here"), ("named Claude", "named Parley"), ("Claude here", "Parley here"), ("Claude says", "Parley says"), ("Claude replied", "Parley replied"), ("Claude answered", "Parley answered"), ("Claude:", "Parley:"), ("Claude's", "Parley's"),
+    ("created by Anthropic", "made for this"), ("made by Anthropic", "made for this"), ("trained by Anthropic", "trained for this"), ("Claude", "Parley"), ("Anthropic", "its makers"),
+)
 STORY_TAGS = {
     "bd": "restraint", "be": "animals", "ca": "eating people", "cb": "comic book heroes", "ds": "power play", "ex": "showing off", "fd": "led by women", "ff": "women together", "ft": "costumes", "fu": "animal people", "gr": "growing",
     "hm": "shaming", "hu": "comedy", "in": "family taboo", "la": "milk", "ma": "alone", "mc": "control of minds", "md": "led by men", "mf": "women and men", "mm": "men together", "nc": "against the will", "rb": "machines", "sc": "filth", "sf": "science and future", "ts": "stopped time", "ws": "water",

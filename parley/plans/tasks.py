@@ -248,7 +248,7 @@ def dolly(spark: SparkSession, root: str, seed: int, mode: str) -> DataFrame:
 @task("EvolInstructTask")
 def evol_instruct(spark: SparkSession, root: str, seed: int, mode: str, most_similar: float = 0.9) -> DataFrame:
     d = _indexed(_read(spark, "evol-instruct", root)).filter("output <> ''")
-    d = d.filter(~F.col("instruction").rlike("|".join(filters.NO_OUTPUT))).filter(~filters.similar(F.col("instruction"), F.col("output"), most_similar))
+    d = d.filter(~F.lower("instruction").rlike("|".join(filters.NO_OUTPUT))).filter(~filters.similar(F.col("instruction"), F.col("output"), most_similar))
     d = d.withColumn("identifier", _id("evol-instruct-", F.col("idx")))
     return _three(d, _prompt(B.QUESTION, F.col("identifier"), seed), "instruction", "output")
 

@@ -189,8 +189,21 @@ def openorca(spark: SparkSession, path: str) -> DataFrame:
     return placed(spark.read.schema("id string, system_prompt string, question string, response string").parquet(f"{path}/*.parquet"))
 
 
-#: Content type of forum dumps by the SHA-256 of their file name; a deployment fills it in.
-FORUM_TYPES: dict[str, str] = {}
+#: Content type of the known forum dumps by the SHA-256 of their file name; further ones are a parameter of the reader.
+FORUM_TYPES: dict[str, str] = {
+    digest: kind
+    for kind, digests in {
+        "rp": """dfa38d0b1db60bf999aec14973a6919d8fbc57d217262a3877e5026f71b39d0a""",
+        "mixed": """20bc5e687f866428cc1e7ad4e500c58c0d1083f6a91e8e28950449639f7c8d21 99131ae34901d21eca1a33ad0112fdb3f13df649c4bcf0d9e244c26273727849""",
+        "erp": """03aee36448fc81f8bae062196bad9767bfc1610c537e3a58660ba4047d49aeb5 14cc766f100cc8f1c5644d3edf822aba312d8a1c40beea7810adbd29608c9c53
+        1bfadd54f7b41f5c2d387a4cbb9bda9342a203870e0f7be7a56a24ad3947f47a 3179b0c4ee80dc14eb3b08447d693382df2062602c40d543b1946b2ddf32daf8
+        328f8498522ba006378a15b1bb8382278617077084afa68d865eb45edb3e2476 3d4b7c9d57643279ce091dc32e06006bc5195ab71ec3be98fef81623dcb132e7
+        5d2f252abc9008cb05e1584b77347050e309abb5cde09616d1de5645658e278a 795074be9881eb21bfb2ce958eda47d12e63cce1d955599d528ea257ac66f4b7
+        92dfc2e9f0fdf7efc7115e5b51ad88f01837360e9776d5e81085263b1971a9a1 c961c08eb87511193e127da59fbefb0084e325304eda86ce43ace033ad3464a3
+        e519b14a4591a5d334d3b0e74a924296c457625cbebc3fbdc30f8810dbef3da9""",
+    }.items()
+    for digest in digests.split()
+}
 
 
 @reader("rp_forums")
@@ -200,7 +213,7 @@ def rp_forums(spark: SparkSession, path: str, types: dict[str, str] | None = Non
     d = grouping.islands(d, ["file"], ["row"], ["thread_title"]).withColumnRenamed("message_username", "author")
     g = grouping.gather(d, ["file"], ["row"], first=("thread_title",), items=("author", "message"))
     name = base_name(F.col("file"))
-    kind = F.lit(default) if not (types or FORUM_TYPES) else grouping.constant_map(F.sha2(name.cast("binary"), 256), types or FORUM_TYPES, F.lit(default))
+    kind = grouping.constant_map(F.sha2(name.cast("binary"), 256), FORUM_TYPES | (types or {}), F.lit(default))
     return g.select(F.col("items").alias("messages"), F.col("thread_title").alias("thread_name"), kind.alias("content_type"), name.alias("source_file"), "file", F.col("island").cast("bigint").alias("row"))
 
 

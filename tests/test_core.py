@@ -241,3 +241,39 @@ def test_streaming(spark, sources, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert spark.read.json(out).count() == 2
+
+
+def test_ranks_by_value_and_without_one_task(spark):
+    rows = spark.range(500).select("id", F.when(F.col("id") % 3 > 0, F.lit("hot")).alias("k"), F.when(F.col("id") % 7 > 0, F.col("id") % 50).alias("o"))
+    got = {r["id"]: r["n"] for r in grouping.counter(rows, "k", ["o", "id"]).collect()}
+    want: dict[int, int] = {}
+    seen: dict = {}
+    for i in sorted(range(500), key=lambda i: (i % 50 if i % 7 else -1, i)):
+        k = i % 3 > 0
+        seen[k] = seen.get(k, 0) + 1
+        want[i] = seen[k]
+    assert got == want
+    for df in (grouping.counter(rows, "k", ["id"]), grouping.window_of(rows, ["id"], 3), grouping.source_cap(rows, ["id"], 100)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "CollectLimit" not in plan and "TakeOrdered" not in plan
+
+
+def test_dedup_of_nulls(spark):
+    df = spark.createDataFrame([(0, None, None), (1, "a", None), (2, None, "a"), (3, "", ""), (4, "b", "c")], "o int, prompt string, generation string")
+    assert sorted(r["o"] for r in grouping.dedup(df, ["o"]).collect()) == [0, 1, 4]
+
+
+def test_no_output_in_any_case(spark, tmp_path):
+    import json
+
+    (tmp_path / "evol-instruct").mkdir()
+    rows = [{"instruction": x, "output": "z q"} for x in ("No Output", "see NOINPUT", "No input", "a fine one", "no outputs at all")]
+    (tmp_path / "evol-instruct/alpaca_evol_instruct_70k.json").write_text(json.dumps(rows))
+    assert [r["identifier"] for r in tasks.run(spark, "EvolInstructTask", str(tmp_path)).collect()] == ["evol-instruct-3"]
+
+
+def test_markers_without_a_system_turn_end_the_job(spark):
+    from parley.operators import windowing
+
+    e = spark.createDataFrame([("e", [("x", "system", "n"), ("y", "model", "n")])], "identifier string, turns array<struct<utterance: string, kind: string, name: string>>")
+    assert windowing.examples(e).first()["prompt"].startswith("<|system|>")
