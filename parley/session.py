@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
 import io
 import os
+import shutil
 import tempfile
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
+_own = ""
 #: Bytes of one Arrow batch at most: a batch counts in the JVM and in the Python worker, for each task.
 BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 
@@ -18,8 +21,7 @@ def ship(spark: SparkSession) -> None:
     """Send this package to the executors, once per application.
 
     Python workers then import it wherever they run, also those that replace a
-    lost executor: the archive lies in the cluster's shared folder (in a
-    temporary one only where the session names none, as in tests). Batches that
+    lost executor: the archive lies in the cluster's shared folder. Batches that
     go to them are bounded by their bytes, since texts can be very long.
     """
     sc = spark.sparkContext
@@ -35,8 +37,7 @@ def ship(spark: SparkSession) -> None:
                 if name.endswith(".py"):
                     full = os.path.join(folder, name)
                     z.write(full, os.path.relpath(full, os.path.dirname(root)))
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    archive = f"{(shared or tempfile.mkdtemp()).rstrip('/')}/{package}-{sc.applicationId}.zip"
+    archive = f"{shared_folder(spark)}/{package}-{sc.applicationId}.zip"
     at = sc._jvm.org.apache.hadoop.fs.Path(archive)
     out = at.getFileSystem(sc._jsc.hadoopConfiguration()).create(at, True)
     out.write(bytearray(made.getvalue()))
@@ -45,13 +46,27 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: ``spark.checkpoint.dir``. Only on one machine a temporary one may stand for it."""
+    global _own
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    if not _own:
+        _own = tempfile.mkdtemp()
+        atexit.register(shutil.rmtree, _own, True)
+    return _own
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write a table to the shared checkpoint folder and go on from there.
 
-    The folder is the cluster's own (``spark.checkpoint.dir``). Only where the
-    session names none, as in tests on one machine, a temporary one is set.
+    The folder is the cluster's own; see ``shared_folder``.
     """
     sc = df.sparkSession.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp())
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
