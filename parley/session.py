@@ -70,3 +70,9 @@ def cut(df: DataFrame) -> DataFrame:
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this engine wrote to the shared one."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
