@@ -46,6 +46,10 @@ DOUBLED = ("  ", " \n", "\n ", "\n\n")
 CACHE = 80_000
 #: Characters of text that are looked up together.
 BLOCK = 1_000_000
+#: Bytes by which the possible lengths of a token are looked up, and those to try for other bytes.
+START, SHORT = 4, (3, 2, 1)
+#: Bytes of a word up to which it is merged together with others, and words of one such table.
+WIDE, ROWS = 64, 4096
 _NONE = np.int64(1) << 40
 
 
@@ -113,11 +117,13 @@ class Codec:
         for t in range(256, len(token)):
             self.sound[t] &= self.sound[left[t]] and self.sound[right[t]] and t not in twice
         self.known = {b: t for t, b in enumerate(token) if self.sound[t]}
-        self.longest = [1] * 65536
+        lengths: dict[bytes, set[int]] = {}
         for b in self.known:
-            if len(b) > 1:
-                k = b[0] << 8 | b[1]
-                self.longest[k] = max(self.longest[k], len(b))
+            if len(b) >= START:
+                lengths.setdefault(b[:START], {3, 2, 1}).add(len(b))
+        same = {(3, 2, 1): (3, 2, 1)}
+        #: The lengths that are worth a look-up, longest first, by the bytes that come next.
+        self.lengths = {b: same.setdefault(k, k) for b, n in lengths.items() for k in [tuple(sorted(n, reverse=True))]}
         self.added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         if any(t.get(k) for t in spec.get("added_tokens", []) for k in ("single_word", "lstrip", "rstrip", "normalized")):
             raise ValueError("added tokens with strip or word conditions are not supported")
@@ -164,13 +170,13 @@ class Codec:
 
     def propose(self, word: bytes) -> list[int] | None:
         """Greedy longest match; None if a token that must not be trusted is needed."""
-        known, longest, out, i, n = self.known, self.longest, [], 0, len(word)
+        known, lengths, out, i, n = self.known, self.lengths, [], 0, len(word)
         while i < n:
-            step = min(n, i + (longest[word[i] << 8 | word[i + 1]] if i + 1 < n else 1))
-            while (t := known.get(word[i:step])) is None:
-                step -= 1
+            for step in lengths.get(word[i : i + START], SHORT):
+                if i + step <= n and (t := known.get(word[i : i + step])) is not None:
+                    break
             out.append(t)
-            i = step
+            i += step
         return out
 
     def merge(self, word: bytes) -> list[int]:
@@ -205,6 +211,57 @@ class Codec:
                 heapq.heappush(heap, (u, h))
         return [t for t in tokens if t >= 0]
 
+    def merge_all(self, words: list[bytes]) -> list[np.ndarray]:
+        """``merge`` of each word: all words make their next merge at once, those of up to ``WIDE`` bytes."""
+        out: list = [None] * len(words)
+        order = sorted(range(len(words)), key=lambda k: len(words[k]))
+        while order and len(words[order[-1]]) > WIDE:
+            k = order.pop()
+            out[k] = np.array(self.merge(words[k]), dtype=np.int64)
+        for at in range(0, len(order), ROWS):
+            some = order[at : at + ROWS]
+            tokens = self._merge_rows([words[k] for k in some])
+            left = tokens >= 0
+            flat, ends = tokens[left], np.cumsum(left.sum(1))
+            for k, a, b in zip(some, [0, *ends.tolist()], ends.tolist()):
+                out[k] = flat[a:b]
+        return out
+
+    def _merge_rows(self, words: list[bytes]) -> np.ndarray:
+        """A row of tokens for each word; -1 where a token went into the one before it or the word is over."""
+        lengths = np.array([len(w) for w in words])
+        rows, wide = len(words), int(lengths.max(initial=0)) + 2
+        # A place before the word and one after it, which never merge, stand for its ends.
+        filled = np.arange(wide) - 1
+        filled = (filled >= 0) & (filled < lengths[:, None])
+        tokens = np.full((rows, wide), -1, dtype=np.int64)
+        tokens[filled] = np.frombuffer(b"".join(words), np.uint8)
+        made = np.full((rows, wide), _NONE)
+        both = filled[:, :-1] & filled[:, 1:]
+        made[:, :-1][both] = self._rank(tokens[:, :-1][both], tokens[:, 1:][both])
+        before = np.tile(np.arange(-1, wide - 1), (rows, 1))
+        after = np.tile(np.arange(1, wide + 1), (rows, 1))
+        live = np.arange(rows)
+        while len(live):
+            i = made[live].argmin(1)  # the first of equals is the leftmost
+            t = made[live, i]
+            go = t < _NONE
+            live, i, t = live[go], i[go], t[go]
+            j = after[live, i]
+            k, h = after[live, j], before[live, i]
+            tokens[live, i], tokens[live, j], made[live, j] = t, -1, _NONE
+            after[live, i], before[live, k] = k, i
+            made[live, i], made[live, h] = self._rank(t, tokens[live, k]), self._rank(tokens[live, h], t)
+        return tokens
+
+    def _rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """What each pair of tokens merges to; ``_NONE`` if it doesn't or one of them is -1."""
+        if not len(self._keys):
+            return np.full(len(a), _NONE)
+        key = (a << 32) | b
+        k = np.minimum(np.searchsorted(self._keys, key), len(self._keys) - 1)
+        return np.where(self._keys[k] == key, self._made[k], _NONE)
+
     def learn(self, words: list[str]) -> list[bytes]:
         """Ids of words: propose, verify all adjacent pairs at once, merge only those that fail."""
         raw = [w.encode() for w in words]
@@ -217,12 +274,16 @@ class Codec:
         at = np.flatnonzero(inner)
         pair, back = np.unique((flat[at] << 32) | flat[at + 1], return_inverse=True)
         wrong = ~self.compatible(pair >> 32, pair & 0xFFFFFFFF)[back] if len(at) else np.zeros(0, bool)
-        failing = set(np.searchsorted(ends, at[wrong], side="right").tolist())
+        failing = np.unique(np.searchsorted(ends, at[wrong], side="right")).tolist()
         public, cuts = self.ids[flat].tobytes(), [0, *(4 * ends).tolist()]
-        return [self.ids[self.merge(raw[k])].tobytes() if k in failing else public[cuts[k] : cuts[k + 1]] for k in range(len(words))]
+        out = [public[a:b] for a, b in zip(cuts, cuts[1:])]
+        for k, tokens in zip(failing, self.merge_all([raw[k] for k in failing])):
+            out[k] = self.ids[tokens].tobytes()
+        return out
 
     def _learn_pieces(self, pieces: list[str]) -> list[bytes]:
-        split = [self.split(p) for p in pieces]
+        # Letters, also after a space, are one word by the pattern.
+        split = [[p] if (p[1:] if p[:1] == " " else p).isalpha() and ODD.search(p) is None else self.split(p) for p in pieces]
         ids = self.words.of(split)
         return [b"".join(map(ids.__getitem__, s)) for s in split]
 

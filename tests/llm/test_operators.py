@@ -57,6 +57,28 @@ def test_bpe_verification_alone_is_right(library):
     assert 0 < failing < len(words)
 
 
+def test_bpe_merges_words_together(library, monkeypatch):
+    coder, rng = bpe.Codec(vocabulary()), random.Random(5)
+    words = ["".join(rng.choice("aabeinorst 日é'") for _ in range(rng.randint(1, 90))) for _ in range(2000)] + ["a" * k for k in range(1, 70)]
+    raw = [w.encode() for w in words]
+    for size in (7, bpe.ROWS):
+        monkeypatch.setattr(bpe, "ROWS", size)
+        assert [m.tolist() for m in coder.merge_all(raw)] == [coder.merge(b) for b in raw]
+    assert coder.merge_all([]) == []
+    for b in raw:  # the longest known token each time
+        i = 0
+        for t in coder.propose(b):
+            assert coder.token[t] == next(b[i:j] for j in range(len(b), i, -1) if b[i:j] in coder.known)
+            i += len(coder.token[t])
+        assert i == len(b)
+    alone = []
+    monkeypatch.setattr(coder, "merge", lambda b, merge=coder.merge: alone.append(b) or merge(b))
+    words = [w.replace(" ", "").replace("'", "") or "a" for w in words if "日" not in w]
+    for w, ids in zip(words, coder.learn(words)):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(w, add_special_tokens=False).ids
+    assert all(len(b) > bpe.WIDE for b in alone)
+
+
 def test_bpe_query(spark, library):
     got = bpe.digests(docs(spark, ODD), vocabulary()).orderBy("doc_id").collect()
     for r, t in zip(got, ODD):
