@@ -11,7 +11,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 Reader = Callable[..., DataFrame]
@@ -67,13 +67,26 @@ def base_name(path: Column) -> Column:
 
 
 def placed(df: DataFrame) -> DataFrame:
-    """Add ``file`` and ``row``: rows of one file in the order of the scan."""
+    """Add ``file`` and ``row``: rows of files that are read whole, in the order of the scan."""
     return df.withColumn("file", F.col("_metadata.file_path")).withColumn("row", F.monotonically_increasing_id())
 
 
+def placed_blocks(df: DataFrame) -> DataFrame:
+    """Add ``file`` and ``row``, the place from 0 in a file that is read in blocks.
+
+    A first pass counts the rows of each block; those of the blocks before it shift a block's own.
+    """
+    at = df.select(*df.columns, F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_id"))
+    before = Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)  # one row per block
+    shift = at.groupBy("file", "_block").agg(F.min("_id").alias("_first"), F.count("*").alias("_n"))
+    shift = shift.select("file", "_block", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    return at.join(F.broadcast(shift), ["file", "_block"]).select(*df.columns, "file", (F.col("_id") + F.col("_shift")).alias("row"))
+
+
 def json_lines(spark: SparkSession, path: str, schema: str, array: bool = False) -> DataFrame:
     """Rows of JSON Lines, or of files that hold one array each; broken lines become rows of nulls."""
-    return placed(spark.read.schema(schema).option("multiLine", array).option("mode", "PERMISSIVE").json(path))
+    df = spark.read.schema(schema).option("multiLine", array).option("mode", "PERMISSIVE").json(path)
+    return placed(df) if array else placed_blocks(df)
 
 
 def csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
