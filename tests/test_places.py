@@ -20,6 +20,7 @@ def small_parts(spark):
 @pytest.mark.parametrize(("source", "name", "fields", "first"), [
     ("airoboros", "instructions.jsonl", ("instruction", "response"), "prompt"),
     ("airoboros2", "instructions.jsonl", ("instruction", "response", "system", "category"), "instruction"),
+    ("dolly", "databricks-dolly-15k.jsonl", ("instruction", "context", "response"), "instruction"),
 ])
 def test_places_in_json_lines(spark, small_parts, tmp_path, source, name, fields, first):
     os.makedirs(tmp_path / source)
