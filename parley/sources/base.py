@@ -71,6 +71,11 @@ def placed(df: DataFrame) -> DataFrame:
     return df.withColumn("file", F.col("_metadata.file_path")).withColumn("row", F.monotonically_increasing_id())
 
 
+def placed_rows(df: DataFrame) -> DataFrame:
+    """Add ``file`` and ``row``, the place in a Parquet file, from 0."""
+    return df.withColumn("file", F.col("_metadata.file_path")).withColumn("row", F.col("_metadata.row_index"))
+
+
 def placed_blocks(df: DataFrame) -> DataFrame:
     """Add ``file`` and ``row``, the place from 0 in a file that is read in blocks.
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from parley.operators import grouping
 from parley.session import ship
-from parley.sources.base import base_name, csv, documents, exists, json_lines, placed, reader, rejecting
+from parley.sources.base import base_name, csv, documents, exists, json_lines, placed, placed_rows, reader, rejecting
 
 SPLITS = ("train", "test", "valid")
 
@@ -129,7 +129,7 @@ def evol_instruct(spark: SparkSession, path: str) -> DataFrame:
 
 @reader("gpt4all_prompt_generations")
 def gpt4all(spark: SparkSession, path: str) -> DataFrame:
-    return placed(spark.read.schema("prompt string, response string, source string").parquet(f"{path}/*.parquet"))
+    return placed_rows(spark.read.schema("prompt string, response string, source string").parquet(f"{path}/*.parquet"))
 
 
 @reader("gpt-4-llm")

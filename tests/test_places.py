@@ -5,6 +5,8 @@ from __future__ import annotations
 import json
 import os
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from parley.sources import base, readers  # noqa: F401 - registers the readers
@@ -30,3 +32,15 @@ def test_places_in_json_lines(spark, small_parts, tmp_path, source, name, fields
     d = base.read(spark, source, str(tmp_path))
     assert d.rdd.getNumPartitions() > 3
     assert sorted((r["row"], r[first]) for r in d.collect()) == [(k, f"instruction {k}") for k in range(120) if k % 7]
+
+
+@pytest.mark.parametrize(("source", "name", "columns", "first"), [
+    ("gpt4all_prompt_generations", "p.parquet", ("prompt", "response", "source"), "prompt"),
+])
+def test_places_in_parquet(spark, small_parts, tmp_path, source, name, columns, first):
+    os.makedirs(tmp_path / source)
+    table = {c: [f"{c} {k:03d}" for k in range(120)] for c in columns} | ({"dialogue": [["a"]] * 120, "speakers": [["b"]] * 120} if source == "soda" else {})
+    pq.write_table(pa.table(table), tmp_path / source / name, row_group_size=20)
+    d = base.read(spark, source, str(tmp_path))
+    assert d.rdd.getNumPartitions() > 3
+    assert sorted((r["row"], r[first]) for r in d.collect()) == [(k, f"{first} {k:03d}") for k in range(120)]
