@@ -186,7 +186,7 @@ def mcstories(spark: SparkSession, path: str) -> DataFrame:
 
 @reader("openorca")
 def openorca(spark: SparkSession, path: str) -> DataFrame:
-    return placed(spark.read.schema("id string, system_prompt string, question string, response string").parquet(f"{path}/*.parquet"))
+    return placed_rows(spark.read.schema("id string, system_prompt string, question string, response string").parquet(f"{path}/*.parquet"))
 
 
 #: Content type of the known forum dumps by the SHA-256 of their file name; further ones are a parameter of the reader.
