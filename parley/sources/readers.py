@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from parley.operators import grouping
 from parley.session import ship
-from parley.sources.base import base_name, csv, documents, exists, json_lines, placed, placed_rows, reader, rejecting
+from parley.sources.base import base_name, csv, documents, exists, json_lines, placed_rows, reader, rejecting
 
 SPLITS = ("train", "test", "valid")
 
@@ -254,7 +254,7 @@ def soda(spark: SparkSession, path: str, split: str = "train") -> DataFrame:
         raise ValueError(f"unknown split {split!r}; there are {', '.join(SPLITS)}")
     d = spark.read.parquet(f"{path}/{split}.parquet")
     kinds = {"narrative": "string", "dialogue": "array<string>", "speakers": "array<string>", "relation": "string", "literal": "string", "original_index": "string"}
-    return placed(d).select(*[F.col(c).cast(k).alias(c) for c, k in kinds.items()], "file", "row")
+    return placed_rows(d).select(*[F.col(c).cast(k).alias(c) for c, k in kinds.items()], "file", "row")
 
 
 @reader("supercot")

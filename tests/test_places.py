@@ -35,7 +35,7 @@ def test_places_in_json_lines(spark, small_parts, tmp_path, source, name, fields
 
 
 @pytest.mark.parametrize(("source", "name", "columns", "first"), [
-    ("gpt4all_prompt_generations", "p.parquet", ("prompt", "response", "source"), "prompt"), ("openorca", "p.parquet", ("id", "system_prompt", "question", "response"), "id"),
+    ("gpt4all_prompt_generations", "p.parquet", ("prompt", "response", "source"), "prompt"), ("openorca", "p.parquet", ("id", "system_prompt", "question", "response"), "id"), ("soda", "train.parquet", ("narrative", "relation", "literal", "original_index"), "narrative"),
 ])
 def test_places_in_parquet(spark, small_parts, tmp_path, source, name, columns, first):
     os.makedirs(tmp_path / source)
