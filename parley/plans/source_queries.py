@@ -3,8 +3,8 @@
 The tables have no files of the sources' layouts, so each query first writes
 one from the whole table ``conversations`` (a question, and the answer that
 follows it), with rows that a reader must leave out, and then reads it back.
-The SQL oracles say what must come out, from the table alone. Only the writing
-is in one task a file, since order within a file has meaning.
+The SQL oracles say what must come out, from the table alone. Order within a
+file has meaning: tasks write its parts, which are joined in order.
 """
 
 from __future__ import annotations
@@ -33,40 +33,65 @@ def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("conv_id", "turn", "asked", "told", (F.col("conv_id") * 1000 + F.col("turn")).alias("k"))
 
 
-def _one_file(rows: DataFrame, order: list[str], path: str, kind: str, **options) -> None:
-    """Write rows in order to one file of this name."""
-    at = f"{path}.parts"
-    ready = rows.repartition(1).sortWithinPartitions(*order).drop(*[c for c in order if c.startswith("_")])
-    ready.write.options(**options).format(kind).save(at)
-    jvm = rows.sparkSession._jvm
-    fs = jvm.org.apache.hadoop.fs.Path(at).getFileSystem(rows.sparkSession._jsc.hadoopConfiguration())
-    part = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{at}/part-*"))[0].getPath()
-    fs.mkdirs(jvm.org.apache.hadoop.fs.Path(path).getParent())
-    fs.rename(part, jvm.org.apache.hadoop.fs.Path(path))
-    fs.delete(jvm.org.apache.hadoop.fs.Path(at), True)
+#: Rows and bytes of the table for each part of a file: parts grow in number, not in size.
+PART_ROWS, PART_BYTES = 20_000, 8 << 20
+
+
+def _one_file(rows: DataFrame, path: str, kind: str, head: str = "", tail: str = "", **options) -> None:
+    """Write rows, in the order of their partitions, to one file of this name.
+
+    Tasks write a part each. The driver joins the parts' bytes, or row groups, a buffer at a time.
+    """
+    at, spark = f"{path}.parts", rows.sparkSession
+    rows.write.options(**options).format(kind).save(at)
+    hadoop, conf = spark._jvm.org.apache.hadoop, spark._jsc.hadoopConfiguration()
+    to = hadoop.fs.Path(path)
+    fs = to.getFileSystem(conf)
+    parts = sorted((f.getPath() for f in fs.globStatus(hadoop.fs.Path(f"{at}/part-*"))), key=lambda p: p.getName())
+    fs.mkdirs(to.getParent())
+    if kind == "parquet":
+        parquet = spark._jvm.org.apache.parquet.hadoop
+        files = [parquet.util.HadoopInputFile.fromPath(p, conf) for p in parts]
+        first = parquet.ParquetFileReader.open(files[0])
+        meta = first.getFooter().getFileMetaData()
+        first.close()
+        out = parquet.ParquetFileWriter(parquet.util.HadoopOutputFile.fromPath(to, conf), meta.getSchema(), parquet.ParquetFileWriter.Mode.CREATE, 128 << 20, 8 << 20)
+        out.start()
+        for f in files:
+            out.appendFile(f)
+        out.end(meta.getKeyValueMetaData())
+    else:
+        out = fs.create(to)
+        out.write(bytearray(head.encode()))
+        for p in parts:
+            part = fs.open(p)
+            hadoop.io.IOUtils.copyBytes(part, out, conf, False)
+            part.close()
+        out.write(bytearray(tail.encode()))
+        out.close()
+    fs.delete(hadoop.fs.Path(at), True)
 
 
 def _ordered(spark: SparkSession, sf_dir: str, fields: dict[str, str]) -> DataFrame:
-    """The fields, as expressions over the pairs, with the order columns ``_k, _a, _t``."""
-    return _pairs(spark, sf_dir).select(*[F.expr(e).alias(c) for c, e in fields.items()], F.col("k").alias("_k"), F.col("asked").alias("_a"), F.col("told").alias("_t"))
-
-
-_KEYS = ["_k", "_a", "_t"]
+    """The fields, as expressions over the pairs, in order: each partition's rows come before the next one's."""
+    table, at = _read(spark, sf_dir, "conversations"), spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/conversations.parquet")
+    size = at.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
+    parts = 1 + max(table.count() // PART_ROWS, size // PART_BYTES)
+    keys = ["k", "asked", "told"]
+    return _pairs(spark, sf_dir).repartitionByRange(parts, *keys).sortWithinPartitions(*keys).select(*[F.expr(e).alias(c) for c, e in fields.items()])
 
 
 def _json(rows: DataFrame, path: str, array: bool) -> None:
     """JSON Lines, or one array; null fields are missing keys."""
-    fields = [c for c in rows.columns if c not in _KEYS]
-    lines = rows.select(F.to_json(F.struct(*fields)).alias("value"), *_KEYS)
+    line = F.to_json(F.struct(*rows.columns))
     if array:  # it ends with an object without keys, which is no record
-        one = rows.sparkSession.range(1)
-        edge = lambda k, v: one.select(F.lit(v).alias("value"), F.lit(k).cast("long").alias("_k"), F.lit("").alias("_a"), F.lit("").alias("_t"))
-        lines = lines.withColumn("value", F.concat("value", F.lit(","))).union(edge(-1, "[")).union(edge((1 << 62), "{}]"))
-    _one_file(lines, _KEYS, path, "text")
+        _one_file(rows.select(F.concat(line, F.lit(",")).alias("value")), path, "text", "[\n", "{}]\n")
+    else:
+        _one_file(rows.select(line.alias("value")), path, "text")
 
 
 def _csv(rows: DataFrame, path: str) -> None:
-    _one_file(rows, _KEYS, path, "csv", header=True, quoteAll=True, escape='"', emptyValue="")
+    _one_file(rows, path, "csv", ",".join(f'"{c}"' for c in rows.columns) + "\n", header=False, quoteAll=True, escape='"', emptyValue="")
 
 
 #: What is planted: answers that are missing, empty or odd, and contexts that are missing, empty or given.
@@ -112,7 +137,7 @@ def _whocars(spark: SparkSession, sf_dir: str, root: str) -> None:
 
 def _parquet(source: str, name: str, fields: dict[str, str]) -> None:
     def write(spark: SparkSession, sf_dir: str, root: str) -> None:
-        _one_file(_ordered(spark, sf_dir, fields), _KEYS, f"{root}/{source}/{name}", "parquet")
+        _one_file(_ordered(spark, sf_dir, fields), f"{root}/{source}/{name}", "parquet")
 
     STAGES[source] = write
 
@@ -139,7 +164,7 @@ def _guild(spark: SparkSession, sf_dir: str, root: str) -> None:
 
 def _adventures(spark: SparkSession, sf_dir: str, root: str) -> None:
     lines = _ordered(spark, sf_dir, {"value": "concat('<|startoftext|>', told, '\n> ', replace(asked, '\n', ' '), '\n<|endoftext|>')"})
-    _one_file(lines, _KEYS, f"{root}/ai-dungeon/text_adventures.txt", "text")
+    _one_file(lines, f"{root}/ai-dungeon/text_adventures.txt", "text")
 
 
 STAGES |= {"mcstories": _stories, "rp_forums": _forum, "rp-guild": _guild, "ai-dungeon": _adventures}

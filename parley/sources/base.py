@@ -13,6 +13,9 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from parley.sources import csv_blocks
 
 Reader = Callable[..., DataFrame]
 READERS: dict[str, Reader] = {}
@@ -96,8 +99,10 @@ def json_lines(spark: SparkSession, path: str, schema: str, array: bool = False)
 
 def csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """CSV with a header, doubled quotes, line feeds inside quotes and fields of any length; empty fields are empty texts."""
-    df = placed(spark.read.schema(schema).option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').option("maxCharsPerColumn", -1).option("enforceSchema", False).csv(path))
-    return df.fillna("")
+    names = StructType.fromDDL(schema).fieldNames()
+    d = csv_blocks.records(spark, path, names)
+    d = d.withColumn("_v", F.from_csv("text", F.lit(schema), {"quote": '"', "escape": '"', "maxCharsPerColumn": "-1"}))
+    return d.select(*[F.coalesce(F.col("_v").getField(n), F.lit("")).alias(n) for n in names], "file", "row")
 
 
 def documents(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
