@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import csv
+import json
+import os
 import random
 
 import pytest
 
-from parley.plans import source_queries
+from parley.plans import source_queries, tasks
 from parley.sources import base
 
 
@@ -51,3 +54,13 @@ def test_files_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
     d = base.read(spark, "whocars", source_queries._root(spark, str(tmp_path), "whocars"))
     asked = [r["prompt_json"][1]["content"] for r in d.orderBy("row").collect()]
     assert asked == [f"said {c}\n{t}" for c in range(200) for t in (0, 2) if (c * 1000 + t) % 13]
+
+
+def test_roleplay_task_reads_blocks(spark, small_parts, tmp_path):
+    said = [json.dumps([{"role": "system", "content": "You play."}, {"role": "user", "content": f"a \"{k}\",\n{k}?"}, {"role": "assistant", "content": f"b {k}\n\n"}], indent=1) for k in range(60)]
+    os.makedirs(tmp_path / "whocars")
+    with open(tmp_path / "whocars" / "logs.csv", "w", newline="", encoding="utf-8") as f:
+        csv.writer(f).writerows([["model", "endpoint", "prompt json", "response"], *[["gpt-4", "openai", s, "r\n"] for s in said]])
+    assert base.read(spark, "whocars", str(tmp_path)).rdd.getNumPartitions() > 3
+    got = {r["identifier"]: r["turns"][1]["utterance"] for r in tasks.run(spark, "WhocarsRoleplayTask", str(tmp_path)).collect()}
+    assert got == {f"whocars-{k}": f"a \"{k}\",\n{k}?" for k in range(60)}
